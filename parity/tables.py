@@ -11,6 +11,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 from functools import cached_property
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -128,11 +129,17 @@ class Given:
         return export_parquet(summary_tables(self.clean), self.base_dir)
 
 
-_GIVEN: dict[tuple[str, str], Given] = {}
+_GIVEN: dict[tuple, Given] = {}
+
+
+def _version(sf_dir: str) -> tuple:
+    """Changes when local files do, so that derived tables never go stale."""
+    files = sorted(Path(sf_dir).glob("*.parquet"))
+    return tuple((f.name, f.stat().st_size, f.stat().st_mtime_ns) for f in files)
 
 
 def given(spark: SparkSession, sf_dir: str) -> Given:
-    key = (spark.sparkContext.applicationId, sf_dir)
+    key = (spark.sparkContext.applicationId, sf_dir, _version(sf_dir))
     if key not in _GIVEN:
         _GIVEN[key] = Given(spark, sf_dir)
     return _GIVEN[key]

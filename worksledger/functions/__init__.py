@@ -8,10 +8,13 @@ from worksledger.functions.numbers import (
     cost_variance,
     exact_avg,
     exact_sum,
+    merged_avg,
+    merged_sum,
     percent,
     round_half,
     safe_ratio,
     scale_units,
+    sum_parts,
     to_int,
 )
 from worksledger.functions.text import (
@@ -33,6 +36,8 @@ __all__ = [
     "in_bbox",
     "is_filled",
     "is_positive",
+    "merged_avg",
+    "merged_sum",
     "null_display",
     "percent",
     "plain_number",
@@ -40,6 +45,7 @@ __all__ = [
     "safe_ratio",
     "scale_units",
     "strip_spaces",
+    "sum_parts",
     "to_int",
     "truncate_text",
     "try_date",

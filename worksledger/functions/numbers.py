@@ -73,6 +73,18 @@ def scale_units(col: Column | str, unit: str) -> Column:
     return _col(col) / _UNITS[unit]
 
 
+def _split(col: Column | str) -> tuple[Column, Column]:
+    """Whole thousands, and the rest in 1/10000 units; together the value."""
+    c = _col(col).cast("double")
+    thousands = F.floor(c / 1000.0)
+    return thousands, F.rint((c - thousands * 1000.0) * 10000.0).cast("bigint")
+
+
+def _join(thousands: Column, rest: Column) -> Column:
+    whole = thousands.cast("decimal(19,0)") * F.lit(Decimal(1000))
+    return (whole + rest.cast("decimal(19,0)") / F.lit(Decimal(10000))).cast("double")
+
+
 def exact_sum(col: Column | str) -> Column:
     """Sum of a double column that does not depend on the order of rows.
 
@@ -83,15 +95,34 @@ def exact_sum(col: Column | str) -> Column:
     decimal one) and put together once per group. Holds for 9e11 rows a group.
     Values are taken at four decimals.
     """
-    c = _col(col).cast("double")
-    thousands = F.floor(c / 1000.0)
-    rest = F.rint((c - thousands * 1000.0) * 10000.0).cast("bigint")
-    whole = F.sum(thousands).cast("decimal(19,0)") * F.lit(Decimal(1000))
-    part = F.sum(rest).cast("decimal(19,0)") / F.lit(Decimal(10000))
-    return (whole + part).cast("double")
+    thousands, rest = _split(col)
+    return _join(F.sum(thousands), F.sum(rest))
 
 
 def exact_avg(col: Column | str) -> Column:
     """``exact_sum`` over the number of non-null values; NULL for none."""
     n = F.count(_col(col))
     return F.when(n > 0, exact_sum(col) / n)
+
+
+def sum_parts(col: str) -> list[Column]:
+    """Aggregates of a first grouping, from which a coarser one takes its sum.
+
+    ``merged_sum(col)`` and ``merged_avg(col)`` over these equal ``exact_sum(col)``
+    and ``exact_avg(col)`` over the rows themselves.
+    """
+    thousands, rest = _split(col)
+    return [
+        F.sum(thousands).alias(f"{col}_thousands"),
+        F.sum(rest).alias(f"{col}_rest"),
+        F.count(col).alias(f"{col}_count"),
+    ]
+
+
+def merged_sum(col: str) -> Column:
+    return _join(F.sum(f"{col}_thousands"), F.sum(f"{col}_rest"))
+
+
+def merged_avg(col: str) -> Column:
+    n = F.sum(f"{col}_count")
+    return F.when(n > 0, merged_sum(col) / n)

@@ -6,7 +6,16 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from worksledger import constants as C
-from worksledger.functions import exact_avg, exact_sum, percent, round_half, scale_units, truncate_text
+from worksledger.functions import (
+    exact_sum,
+    merged_avg,
+    merged_sum,
+    percent,
+    round_half,
+    scale_units,
+    sum_parts,
+    truncate_text,
+)
 from worksledger.operators.filters import ProjectFilter, apply_filter, drill_down
 from worksledger.operators.ordering import top_k
 
@@ -14,11 +23,20 @@ _COST = "contract_cost"
 
 
 def kpi_overview(df: DataFrame, selected: ProjectFilter | None = None) -> DataFrame:
-    """One row, also for an empty selection (then 0 projects and NULL costs)."""
-    return apply_filter(df, selected).agg(
-        F.count("*").alias("total_projects"),
-        round_half(exact_sum(_COST), 0).alias("total_cost"),
-        round_half(exact_avg(_COST), 0).alias("avg_cost"),
+    """One row, also for an empty selection (then 0 projects and NULL costs).
+
+    Grouped by (region, contractor) first, so that the two distinct counts
+    multiply those groups and not the rows.
+    """
+    groups = (
+        apply_filter(df, selected)
+        .groupBy("region", "contractor")
+        .agg(F.count("*").alias("projects"), *sum_parts(_COST))
+    )
+    return groups.agg(
+        F.coalesce(F.sum("projects"), F.lit(0)).alias("total_projects"),
+        round_half(merged_sum(_COST), 0).alias("total_cost"),
+        round_half(merged_avg(_COST), 0).alias("avg_cost"),
         F.count_distinct("contractor").alias("unique_contractors"),
         F.count_distinct("region").alias("regions"),
     )

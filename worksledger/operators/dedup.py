@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -34,7 +36,7 @@ def dedup_latest(
 
 def require_not_null(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """Rows in which all the columns are present (blank text is present)."""
-    return df.dropna(how="any", subset=list(cols))
+    return df.filter(reduce(and_, [F.col(c).isNotNull() for c in cols]))
 
 
 def duplicate_keys(df: DataFrame, key: str) -> DataFrame:

@@ -30,13 +30,11 @@ def null_profile(df: DataFrame, cols: Sequence[str] = C.NULL_PROFILE_COLUMNS) ->
 def value_distribution(df: DataFrame, col: str, k: int = C.TOP_DISTRIBUTION) -> DataFrame:
     """The k most frequent values with their share of all rows, NULLs included.
 
-    The total is a scalar subquery over the same grouped counts, so the second
-    reading of the table is a reused exchange.
+    The number of all rows is a scalar subquery that reads no column.
     """
-    counts = df.groupBy(col).agg(F.count("*").alias("projects"))
-    total = counts.agg(F.sum("projects")).scalar()
-    present = counts.filter(F.col(col).isNotNull())
-    return top_k(present, "projects", k, [col]).select(
+    total = row_count(df).scalar()
+    counts = df.filter(F.col(col).isNotNull()).groupBy(col).agg(F.count("*").alias("projects"))
+    return top_k(counts, "projects", k, [col]).select(
         col, "projects", percent("projects", total, 1).alias("pct")
     )
 

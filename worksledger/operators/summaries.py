@@ -12,7 +12,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from worksledger import constants as C
-from worksledger.functions import exact_avg, exact_sum, round_half
+from worksledger.functions import (
+    exact_avg,
+    exact_sum,
+    merged_avg,
+    merged_sum,
+    round_half,
+    sum_parts,
+)
 from worksledger.operators.ordering import top_k
 
 _DAYS = "duration_days"
@@ -50,16 +57,32 @@ def summary_by_work_type(clean: DataFrame) -> DataFrame:
 
 
 def summary_by_year(clean: DataFrame) -> DataFrame:
-    return (
+    """Counts two kinds of distinct values, hence grouped in two steps.
+
+    In one step Spark would write every row three times before aggregating; here
+    that happens to the (year, region, contractor) groups only.
+    """
+    groups = (
         clean.filter(F.col("infra_year").isNotNull())
-        .groupBy("infra_year")
+        .groupBy("infra_year", "region", "contractor")
         .agg(
-            F.count("*").alias("total_projects"),
+            F.count("*").alias("projects"),
+            *sum_parts(_COST),
+            F.sum(_DAYS).alias("days"),
+            F.count(_DAYS).alias("timed"),
+        )
+    )
+    return (
+        groups.groupBy("infra_year")
+        .agg(
+            F.sum("projects").alias("total_projects"),
             F.count_distinct("region").alias("regions_covered"),
             F.count_distinct("contractor").alias("unique_contractors"),
-            round_half(exact_sum(_COST), 2).alias("total_cost"),
-            round_half(exact_avg(_COST), 2).alias("avg_cost"),
-            round_half(F.sum(_DAYS) / F.count(_DAYS), 0).alias("avg_duration_days"),
+            round_half(merged_sum(_COST), 2).alias("total_cost"),
+            round_half(merged_avg(_COST), 2).alias("avg_cost"),
+            round_half(
+                F.when(F.sum("timed") > 0, F.sum("days") / F.sum("timed")), 0
+            ).alias("avg_duration_days"),
         )
         .orderBy("infra_year")
     )

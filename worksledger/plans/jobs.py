@@ -16,6 +16,7 @@ from worksledger import constants as C
 from worksledger.operators import profiling, quality, summaries
 from worksledger.operators.cleaning import KEY, clean_projects
 from worksledger.schemas import RAW_SCHEMA
+from worksledger.session import sized_shuffles
 from worksledger.sinks import export_parquet, manifest, materialise, write_manifest
 from worksledger.sources import describe_schema, read_geojson
 
@@ -178,9 +179,11 @@ def publish(
     run_dir = f"{base}/runs/{time.strftime('%Y%m%dT%H%M%S', time.gmtime())}-{uuid.uuid4().hex[:8]}"
     values: dict[str, object] = {"run_dir": run_dir, "promoted": False}
     try:
-        raw = ingest(spark, src, f"{run_dir}/raw", schema, layout).raw
-        result = transform(raw, f"{run_dir}/{C.CLEAN_FILE}")
-        written = export_parquet(result.summaries, run_dir)
+        with sized_shuffles(spark, _bytes_below(spark, src)):
+            landed = ingest(spark, src, f"{run_dir}/raw", schema, layout)
+            result = transform(landed.raw, f"{run_dir}/{C.CLEAN_FILE}")
+            written = export_parquet(result.summaries, run_dir)
+            export_parquet(landed.profile | result.profile, f"{run_dir}/profile")
         tables = {C.CLEAN_FILE: result.clean, **written}
         write_manifest(manifest(tables, source), f"{run_dir}/{C.MANIFEST_FILE}")
         checks = materialise(
@@ -207,6 +210,11 @@ def publish(
     return spark.range(1).select(*row)
 
 
+def _bytes_below(spark: SparkSession, path: str) -> int:
+    files = quality.file_sizes(spark, path)
+    return files.agg(F.sum("length")).first()[0] if files is not None else 0
+
+
 def _promote(spark: SparkSession, base: str, run_dir: str) -> None:
     line = spark.range(1).select(
         F.lit(run_dir).alias("run_dir"), F.current_timestamp().alias("promoted_at")

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -23,6 +25,32 @@ def builder(app_name: str = "worksledger") -> SparkSession.Builder:
     return b
 
 
+TARGET_PARTITION_BYTES = 256 * 1024 * 1024
+MOST_PARTITIONS = 50_000
+
+
+@contextmanager
+def sized_shuffles(spark: SparkSession, input_bytes: int) -> Iterator[None]:
+    """Shuffles with enough partitions for this much input, within the block.
+
+    Adaptive execution merges small shuffle partitions but never creates more, so
+    the initial number has to follow the data; 200 partitions of 100 TB would be
+    500 GB each. The session's own number is kept as the minimum and put back.
+    """
+    name = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+    before = spark.conf.get(name, None)
+    least = int(before or spark.conf.get("spark.sql.shuffle.partitions"))
+    wanted = min(-(-input_bytes // TARGET_PARTITION_BYTES), MOST_PARTITIONS)
+    spark.conf.set(name, max(least, wanted))
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(name)
+        else:
+            spark.conf.set(name, before)
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder every executor can reach, as the cluster names it.
 

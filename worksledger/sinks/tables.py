@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from typing import NamedTuple
 
 from pyspark.sql import DataFrame, Observation
@@ -33,8 +34,11 @@ def materialise(df: DataFrame, path: str, cluster_by: Sequence[str] = ()) -> Lan
 def export_parquet(tables: Mapping[str, DataFrame], out_dir: str) -> dict[str, DataFrame]:
     """Write each table below ``out_dir`` under its name and read it back.
 
-    An ordered table keeps its order: Spark writes sort partitions as files in
-    sequence, and the few rows of a summary end up in one.
+    The tables are independent, so their jobs are submitted side by side and fill
+    the cluster together. An ordered table keeps its order: Spark writes sort
+    partitions as files in sequence, and the few rows of a summary end up in one.
     """
     base = out_dir.rstrip("/")
-    return {name: materialise(df, f"{base}/{name}").table for name, df in tables.items()}
+    with ThreadPoolExecutor(max_workers=max(1, len(tables))) as pool:
+        jobs = {n: pool.submit(materialise, df, f"{base}/{n}") for n, df in tables.items()}
+        return {n: job.result().table for n, job in jobs.items()}
