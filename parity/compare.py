@@ -18,6 +18,15 @@ def connect(sf_dir: str) -> duckdb.DuckDBPyConnection:
     return con
 
 
+_TYPES = {"VARCHAR": "string", "INTEGER": "int"}
+
+
+def types(con: duckdb.DuckDBPyConnection, sql: str) -> dict[str, str]:
+    """Column types of a SQL result, as Spark names them."""
+    described = con.execute(f"DESCRIBE {sql}").fetchall()
+    return {row[0]: _TYPES.get(row[1], row[1].lower()) for row in described}
+
+
 def _sortable(row: tuple) -> tuple:
     return tuple((v is not None, str(type(v)), v) if v is not None else (False, "", 0) for v in row)
 
@@ -39,10 +48,11 @@ def sql_rows(con: duckdb.DuckDBPyConnection, sql: str) -> tuple[list[str], list[
 
 def differences(spark: SparkSession, con: duckdb.DuckDBPyConnection, sf_dir: str, name: str) -> str:
     """Empty when the results are equal."""
-    got_names, got = spark_rows(queries()[name](spark, sf_dir))
-    want_names, want = sql_rows(con, oracle_sql()[name])
-    if got_names != want_names:
-        return f"columns {got_names} instead of {want_names}"
+    df, sql = queries()[name](spark, sf_dir), oracle_sql()[name]
+    if dict(df.dtypes) != types(con, sql):
+        return f"columns {dict(df.dtypes)} instead of {types(con, sql)}"
+    _, got = spark_rows(df)
+    _, want = sql_rows(con, sql)
     if len(got) != len(want):
         return f"{len(got)} rows instead of {len(want)}"
     wrong = [(g, w) for g, w in zip(got, want, strict=True) if g != w]

@@ -204,7 +204,7 @@ def _sort_table(g: Given) -> DataFrame:
     ties = ["project_id", "contract_cost"]
     order = ordering.sort_order(shown, "contractor", "desc", ties)
     # 500 rows at most, so one window over all of them is fine
-    position = F.row_number().over(Window.orderBy(*order))
+    position = F.row_number().over(Window.orderBy(*order)).cast("bigint")
     return ordering.sort_table(shown, "contractor", "desc", ties).withColumn("position", position)
 
 

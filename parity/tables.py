@@ -28,6 +28,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def _spread(df: DataFrame) -> DataFrame:
+    """Rows of a table in fewer files than there are task slots, over all slots.
+
+    A table of many files is read in parallel as it is and not shuffled.
+    """
+    slots = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(slots) if len(df.inputFiles()) < slots else df
+
+
 def _multiple(col: str, n: int) -> Column:
     return F.col(col) % n == 0
 
@@ -37,7 +46,7 @@ def _iso_day(col: str) -> Column:
 
 
 def projects_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lineitem = table(spark, sf_dir, "lineitem")
+    lineitem = _spread(table(spark, sf_dir, "lineitem"))
     joined = (
         lineitem.join(table(spark, sf_dir, "orders"), F.col("l_orderkey") == F.col("o_orderkey"))
         .join(table(spark, sf_dir, "part"), F.col("l_partkey") == F.col("p_partkey"))

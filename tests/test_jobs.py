@@ -7,7 +7,7 @@ from tests.conftest import BASE
 from worksledger import constants as C
 from worksledger.operators.quality import QualityError, enforce
 from worksledger.plans import jobs
-from worksledger.session import shared_folder, sized_shuffles
+from worksledger.session import shared_folder, sized_for
 from worksledger.sources import register_views
 
 LOOSE = jobs.Thresholds(row_bounds=(1, 10**9), region_bounds=(1, 20), min_output_bytes=1)
@@ -98,13 +98,17 @@ def test_without_the_main_dataset_one_check_is_skipped(spark, source, tmp_path):
 
 def test_shuffles_follow_the_input_size(spark):
     name = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
-    with sized_shuffles(spark, 100 * 1024**3):
+    with sized_for(spark, 100 * 1024**3):
         assert int(spark.conf.get(name)) == 400
-        with sized_shuffles(spark, 10 * 1024**2):
+        with sized_for(spark, 10 * 1024**2):
             assert int(spark.conf.get(name)) == 400
     assert spark.conf.get(name, None) is None
-    with sized_shuffles(spark, 100 * 1024**4):
+    splits = "spark.sql.files.maxPartitionBytes"
+    before = spark.conf.get(splits)
+    with sized_for(spark, 100 * 1024**4):
         assert int(spark.conf.get(name)) == 50_000
+        assert int(spark.conf.get(splits)) == -(-100 * 1024**4 // 200_000)
+    assert spark.conf.get(splits) == before
 
 
 def test_shared_folder_is_the_one_the_session_names(spark):

@@ -16,7 +16,7 @@ from worksledger import constants as C
 from worksledger.operators import profiling, quality, summaries
 from worksledger.operators.cleaning import KEY, clean_projects
 from worksledger.schemas import RAW_SCHEMA
-from worksledger.session import sized_shuffles
+from worksledger.session import sized_for
 from worksledger.sinks import export_parquet, manifest, materialise, write_manifest
 from worksledger.sources import describe_schema, read_geojson
 
@@ -179,7 +179,7 @@ def publish(
     run_dir = f"{base}/runs/{time.strftime('%Y%m%dT%H%M%S', time.gmtime())}-{uuid.uuid4().hex[:8]}"
     values: dict[str, object] = {"run_dir": run_dir, "promoted": False}
     try:
-        with sized_shuffles(spark, _bytes_below(spark, src)):
+        with sized_for(spark, _bytes_below(spark, src)):
             landed = ingest(spark, src, f"{run_dir}/raw", schema, layout)
             result = transform(landed.raw, f"{run_dir}/{C.CLEAN_FILE}")
             written = export_parquet(result.summaries, run_dir)

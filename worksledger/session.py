@@ -25,30 +25,36 @@ def builder(app_name: str = "worksledger") -> SparkSession.Builder:
     return b
 
 
-TARGET_PARTITION_BYTES = 256 * 1024 * 1024
-MOST_PARTITIONS = 50_000
+SHUFFLE_PARTITION_BYTES = 256 * 1024 * 1024
+MOST_SHUFFLE_PARTITIONS = 50_000
+MOST_READ_TASKS = 200_000
 
 
 @contextmanager
-def sized_shuffles(spark: SparkSession, input_bytes: int) -> Iterator[None]:
-    """Shuffles with enough partitions for this much input, within the block.
+def sized_for(spark: SparkSession, input_bytes: int) -> Iterator[None]:
+    """Partition counts that follow the input, within the block.
 
     Adaptive execution merges small shuffle partitions but never creates more, so
-    the initial number has to follow the data; 200 partitions of 100 TB would be
-    500 GB each. The session's own number is kept as the minimum and put back.
+    the initial number has to fit the data; 200 partitions of 100 TB would be
+    500 GB each. Read splits grow once 128 MB ones would be too many tasks (and
+    output files). The session's own values are minimums and are put back.
     """
-    name = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
-    before = spark.conf.get(name, None)
-    least = int(before or spark.conf.get("spark.sql.shuffle.partitions"))
-    wanted = min(-(-input_bytes // TARGET_PARTITION_BYTES), MOST_PARTITIONS)
-    spark.conf.set(name, max(least, wanted))
+    shuffles = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+    splits = "spark.sql.files.maxPartitionBytes"
+    before = {name: spark.conf.get(name, None) for name in (shuffles, splits)}
+    least = int(before[shuffles] or spark.conf.get("spark.sql.shuffle.partitions"))
+    wanted = min(-(-input_bytes // SHUFFLE_PARTITION_BYTES), MOST_SHUFFLE_PARTITIONS)
+    spark.conf.set(shuffles, max(least, wanted))
+    if input_bytes > MOST_READ_TASKS * SHUFFLE_PARTITION_BYTES:
+        spark.conf.set(splits, -(-input_bytes // MOST_READ_TASKS))
     try:
         yield
     finally:
-        if before is None:
-            spark.conf.unset(name)
-        else:
-            spark.conf.set(name, before)
+        for name, value in before.items():
+            if value is None:
+                spark.conf.unset(name)
+            else:
+                spark.conf.set(name, value)
 
 
 def shared_folder(spark: SparkSession) -> str:
