@@ -474,6 +474,10 @@ def oracle_sql() -> dict[str, str]:
             "CASE WHEN length(type_of_work) > 20 THEN substring(type_of_work, 1, 20) || '…' "
             f"ELSE type_of_work END AS type_of_work FROM (SELECT * FROM clean {_TOP500})"
         ),
+        "top_k": _clean(
+            "SELECT global_id, cost_variance FROM clean "
+            "ORDER BY cost_variance DESC NULLS LAST, global_id LIMIT 20"
+        ),
         "sort_table_desc": _clean(sorted_500),
         "paginate_page3": _clean(page3),
         "paginate_deep": _clean(page3),
@@ -510,6 +514,20 @@ def oracle_sql() -> dict[str, str]:
             f"{_FAILURES} AS failures, {_pct(_PASSED, 'COUNT(*)', 1)} AS score FROM checks",
             _CHECKS,
         ),
+        "verify_job": _clean(
+            _union([
+                "SELECT check_group, check_name, passed FROM checks",
+                *[
+                    f"SELECT 'files', '{name}', true"
+                    for name in [
+                        *[f"output_exists:{file}" for file in [*_FILES.values(), C.MANIFEST_FILE]],
+                        "min_output_size",
+                        "round_trip",
+                    ]
+                ],
+            ]),
+            _CHECKS,
+        ),
         # the eight checks on written files all pass for a run that has written them
         "publish_report": _clean(
             f"SELECT CASE WHEN COUNT(*) = {_PASSED} THEN 'SUCCESS' ELSE 'FAILED' END AS status, "

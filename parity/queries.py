@@ -20,9 +20,15 @@ from worksledger.operators import (
     quality,
     summaries,
 )
-from worksledger.plans.jobs import Thresholds, publish
+from worksledger.plans.jobs import Thresholds, publish, verify
 from worksledger.session import scratch_path
-from worksledger.sinks import dataset_sizes, export_csv, export_parquet, manifest
+from worksledger.sinks import (
+    dataset_sizes,
+    export_csv,
+    export_parquet,
+    manifest,
+    write_manifest,
+)
 from worksledger.sources import describe_schema, read_geojson, read_parquet, register_views
 
 Query = Callable[[Given], DataFrame]
@@ -226,6 +232,13 @@ def _checks(g: Given) -> DataFrame:
     ).unionByName(quality.summary_years_complete(g.clean, g.summaries[C.YEAR_FILE]))
 
 
+def _verify(g: Given) -> DataFrame:
+    """All checks on a published folder; sizes vary, so without the details."""
+    write_manifest(manifest(_published(g), SOURCE), f"{g.base_dir}/{C.MANIFEST_FILE}")
+    checks = verify(g.clean, g.summaries, g.base_dir, expected=EXPECTED)
+    return checks.select("check_group", "check_name", "passed")
+
+
 def _publish(g: Given) -> DataFrame:
     report = publish(
         g.spark,
@@ -326,6 +339,9 @@ _QUERIES: dict[str, Query] = {
     "facet_cost_category": lambda g: breakdowns.facets(g.clean)["cost_category"],
     "project_explorer": _project_explorer,
     "explorer_cells": _explorer_cells,
+    "top_k": lambda g: ordering.top_k(
+        g.clean.select("global_id", "cost_variance"), "cost_variance", 20, ["global_id"]
+    ),
     "sort_table_desc": _sort_table,
     "paginate_page3": _paginate,
     "paginate_deep": lambda g: _paginate(g, deep_from=0),
@@ -340,6 +356,7 @@ _QUERIES: dict[str, Query] = {
     "quality_checks_core": _checks,
     "quality_report": lambda g: quality.quality_report(_checks(g)),
     # jobs
+    "verify_job": _verify,
     "publish_report": _publish,
 }
 

@@ -7,6 +7,7 @@ from pathlib import Path
 from tests.conftest import column
 from worksledger import constants as C
 from worksledger.sinks import (
+    create_table,
     dataset_sizes,
     export_csv,
     export_parquet,
@@ -69,6 +70,13 @@ def test_materialise_counts_and_replaces(spark, tmp_path):
     assert all(".snappy." in p.name for p in Path(path).glob("part-*"))
 
 
+def test_catalog_tables_are_replaced(spark):
+    assert create_table(spark.range(5), "works_raw").rows == 5
+    table, rows = create_table(spark.range(7).selectExpr("id", "id % 2 AS odd"), "works_raw", ["odd"])
+    assert (rows, table.count(), spark.table("works_raw").columns) == (7, 7, ["id", "odd"])
+    spark.sql("DROP TABLE works_raw")
+
+
 def test_exported_order_is_stored_order(spark, tmp_path):
     ordered = spark.range(50).repartition(5).orderBy("id")
     back = export_parquet({"a": ordered, "b": spark.range(3)}, str(tmp_path))

@@ -2,9 +2,10 @@
 
 from worksledger.sinks.csv import export_csv
 from worksledger.sinks.manifest import dataset_sizes, manifest, write_manifest
-from worksledger.sinks.tables import export_parquet, materialise
+from worksledger.sinks.tables import create_table, export_parquet, materialise
 
 __all__ = [
+    "create_table",
     "dataset_sizes",
     "export_csv",
     "export_parquet",

@@ -6,7 +6,7 @@ from collections.abc import Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from typing import NamedTuple
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import DataFrame, DataFrameWriter, Observation
 from pyspark.sql import functions as F
 
 
@@ -24,11 +24,23 @@ def materialise(df: DataFrame, path: str, cluster_by: Sequence[str] = ()) -> Lan
     pages cover few values and filters on those columns skip the rest. Rows are
     counted while they are written, not by another pass.
     """
+    writer, written = _writer(df, cluster_by)
+    writer.parquet(path)
+    return Landed(df.sparkSession.read.parquet(path), written.get["rows"])
+
+
+def create_table(df: DataFrame, name: str, cluster_by: Sequence[str] = ()) -> Landed:
+    """The same for a table of the session's catalog."""
+    writer, written = _writer(df, cluster_by)
+    writer.format("parquet").saveAsTable(name)
+    return Landed(df.sparkSession.table(name), written.get["rows"])
+
+
+def _writer(df: DataFrame, cluster_by: Sequence[str]) -> tuple[DataFrameWriter, Observation]:
     written = Observation()
     counted = df.observe(written, F.count(F.lit(1)).alias("rows"))
     ordered = counted.sortWithinPartitions(*cluster_by) if cluster_by else counted
-    ordered.write.mode("overwrite").option("compression", "snappy").parquet(path)
-    return Landed(df.sparkSession.read.parquet(path), written.get["rows"])
+    return ordered.write.mode("overwrite").option("compression", "snappy"), written
 
 
 def export_parquet(tables: Mapping[str, DataFrame], out_dir: str) -> dict[str, DataFrame]:
