@@ -130,3 +130,10 @@ def test_a_folder_of_collections(spark, tmp_path):
         write(tmp_path, COMPACT, f"{i}.geojson")
     assert read_geojson(spark, str(tmp_path), SCHEMA).count() == 12
     assert read_geojson(spark, str(tmp_path), SCHEMA, max_document_bytes=0).count() == 12
+
+
+@pytest.mark.parametrize("limit", [10**9, 0])
+def test_an_empty_collection_has_no_rows(spark, tmp_path, limit):
+    path = write(tmp_path, '{"type":"FeatureCollection","features":[]}')
+    assert read_geojson(spark, path, SCHEMA, max_document_bytes=limit).count() == 0
+    assert read_geojson(spark, path, SCHEMA, layout="lines").count() == 0

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from tests.conftest import BASE
 from worksledger import constants as C
+from worksledger.__main__ import main
 from worksledger.operators.quality import QualityError, enforce
 from worksledger.plans import jobs
 from worksledger.session import shared_folder, sized_for
@@ -113,3 +114,16 @@ def test_shuffles_follow_the_input_size(spark):
 
 def test_shared_folder_is_the_one_the_session_names(spark):
     assert shared_folder(spark) == spark.conf.get("spark.checkpoint.dir")
+
+
+def test_command_line(spark, source, tmp_path):
+    raw, work, out = (str(tmp_path / n) for n in ("raw", "work", "out"))
+    assert main(["ingest", source, raw, "--layout", "lines"]) == 0
+    assert main(["transform", raw, work]) == 0
+    assert main(["export", work, out, "--source", "here"]) == 0
+    assert main(["verify", out, "--min-rows", "1"]) == 1  # three regions, small files
+    assert spark.read.parquet(f"{out}/{C.CLEAN_FILE}").count() == 200
+    published = str(tmp_path / "published")
+    always = ["--layout", "lines", "--promote", "always"]
+    assert main(["publish", source, published, *always]) == 1
+    assert jobs.published_dir(spark, published)

@@ -115,6 +115,7 @@ TOP_DISTRIBUTION = 10
 EXPLORER_ROWS = 500
 PAGE_SIZE = 20
 CONTRACTOR_LABEL_CHARS = 35
+EXPLORER_CELL_CHARS = {"project_description": 60, "contractor": 25, "type_of_work": 20}
 
 # --- fixed values: data-quality thresholds -----------------------------------
 REQUIRED_COLUMNS = (

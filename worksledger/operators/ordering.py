@@ -9,11 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from worksledger import constants as C
-from worksledger.functions import (
-    null_display,
-    scale_units,
-    truncate_text,
-)
+from worksledger.functions import null_display, scale_units, truncate_text
 from worksledger.operators.filters import ProjectFilter, apply_filter, search
 from worksledger.session import scratch_path
 
@@ -43,14 +39,15 @@ def explore(
 
 def explorer_cells(explored: DataFrame) -> DataFrame:
     """Explorer rows as shown: shortened text, cost in millions, dash for NULL."""
+    cut = {c: truncate_text(c, n).alias(c) for c, n in C.EXPLORER_CELL_CHARS.items()}
     return explored.select(
-        truncate_text("project_description", 60).alias("project_description"),
+        cut["project_description"],
         null_display("region").alias("region"),
         null_display("province").alias("province"),
-        truncate_text("contractor", 25).alias("contractor"),
+        cut["contractor"],
         scale_units("contract_cost", "million").alias("cost_millions"),
         "infra_year",
-        truncate_text("type_of_work", 20).alias("type_of_work"),
+        cut["type_of_work"],
     )
 
 
