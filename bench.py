@@ -3,8 +3,8 @@
 BENCH_SF_DIR  folder with the given tables (default /root/testdata/sf0.1)
 BENCH_CPUS    local task slots (default 8)
 
-``land_raw`` and ``land_clean`` write the derived tables the way the jobs do; the
-other queries read those, once each, to the last row and column.
+The ``land_`` entries write the derived tables the way the jobs do (and the records
+as GeoJSON); the other queries read those, once each, to the last row and column.
 """
 
 from __future__ import annotations
@@ -77,6 +77,7 @@ def main() -> None:
     tables = given(spark, sf_dir)
     seconds = {"land_raw": timed(lambda: tables.raw), "land_clean": timed(lambda: tables.clean)}
     seconds["land_summaries"] = timed(lambda: tables.summaries)
+    seconds["land_features"] = timed(lambda: tables.features)
     every = queries()
     for name in HEADLINE:
         seconds[name] = timed(

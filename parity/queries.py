@@ -46,28 +46,13 @@ SOURCE = "given tables"
 # --- sources and sinks --------------------------------------------------------
 
 
-def _features(g: Given) -> str:
-    """The raw records as GeoJSON, one feature per line."""
-    path = scratch_path(g.spark, "features")
-    point = F.struct(
-        F.lit("Point").alias("type"), F.array("Longitude", "Latitude").alias("coordinates")
-    )
-    feature = F.struct(
-        F.lit("Feature").alias("type"),
-        F.struct(*g.raw.columns).alias("properties"),
-        F.when(F.col("Longitude").isNotNull(), point).alias("geometry"),
-    )
-    g.raw.select(F.to_json(feature)).write.text(path)
-    return path
-
-
 def _read_geojson(g: Given) -> DataFrame:
-    return read_geojson(g.spark, _features(g), layout="lines").drop("geometry")
+    return read_geojson(g.spark, g.features, layout="lines").drop("geometry")
 
 
 def _read_geojson_splits(g: Given) -> DataFrame:
     """The same features through the reader for collections of any size."""
-    return read_geojson(g.spark, _features(g), max_document_bytes=0).drop("geometry")
+    return read_geojson(g.spark, g.features, max_document_bytes=0).drop("geometry")
 
 
 def _read_parquet(g: Given) -> DataFrame:
@@ -242,7 +227,7 @@ def _verify(g: Given) -> DataFrame:
 def _publish(g: Given) -> DataFrame:
     report = publish(
         g.spark,
-        _features(g),
+        g.features,
         scratch_path(g.spark, "publish"),
         SOURCE,
         layout="lines",

@@ -133,6 +133,21 @@ class Given:
         path = f"{self.base_dir}/{C.CLEAN_FILE}"
         return materialise(clean_projects(self.raw), path, CLUSTER_BY).table
 
+    @cached_property
+    def features(self) -> str:
+        """The raw records as GeoJSON, one feature per line; the folder's path."""
+        path = scratch_path(self.spark, "features")
+        point = F.struct(
+            F.lit("Point").alias("type"), F.array("Longitude", "Latitude").alias("coordinates")
+        )
+        feature = F.struct(
+            F.lit("Feature").alias("type"),
+            F.struct(*self.raw.columns).alias("properties"),
+            F.when(F.col("Longitude").isNotNull(), point).alias("geometry"),
+        )
+        self.raw.select(F.to_json(feature)).write.text(path)
+        return path
+
     @cached_property
     def summaries(self) -> dict[str, DataFrame]:
         return export_parquet(summary_tables(self.clean), self.base_dir)

@@ -26,7 +26,8 @@ def materialise(df: DataFrame, path: str, cluster_by: Sequence[str] = ()) -> Lan
     """
     writer, written = _writer(df, cluster_by)
     writer.parquet(path)
-    return Landed(df.sparkSession.read.parquet(path), written.get["rows"])
+    # the schema is known, so no footer has to be read for it
+    return Landed(df.sparkSession.read.schema(df.schema).parquet(path), written.get["rows"])
 
 
 def create_table(df: DataFrame, name: str, cluster_by: Sequence[str] = ()) -> Landed:
