@@ -475,6 +475,9 @@ def oracle_sql() -> dict[str, str]:
             f"ELSE type_of_work END AS type_of_work FROM (SELECT * FROM clean {_TOP500})"
         ),
         "top_k": _clean(
+            f"{_CONTRACTORS} ORDER BY total_contract_value DESC NULLS LAST, contractor LIMIT 20"
+        ),
+        "top_rows": _clean(
             "SELECT global_id, cost_variance FROM clean "
             "ORDER BY cost_variance DESC NULLS LAST, global_id LIMIT 20"
         ),

@@ -325,7 +325,12 @@ _QUERIES: dict[str, Query] = {
     "project_explorer": _project_explorer,
     "explorer_cells": _explorer_cells,
     "top_k": lambda g: ordering.top_k(
-        g.clean.select("global_id", "cost_variance"), "cost_variance", 20, ["global_id"]
+        summaries.contractor_totals(g.clean), "total_contract_value", 20, ["contractor"]
+    ),
+    "top_rows": lambda g: ordering.top_rows(
+        g.clean.select("global_id", "cost_variance"),
+        [F.col("cost_variance").desc_nulls_last(), F.col("global_id").asc_nulls_last()],
+        20,
     ),
     "sort_table_desc": _sort_table,
     "paginate_page3": _paginate,

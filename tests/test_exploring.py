@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import pytest
+from pyspark.sql import functions as F
 
 from tests.conftest import column, plan_text
 from worksledger.operators import breakdowns, filters, ordering
@@ -76,7 +77,8 @@ def test_predicates_reach_the_scan(spark, clean, tmp_path):
     shown = ordering.explore(spark.read.parquet(path), filters.ProjectFilter("South", 2021), "b")
     plan = plan_text(shown)
     assert "EqualTo(region,South)" in plan and "EqualTo(infra_year,2021)" in plan
-    assert "TakeOrderedAndProject" in plan and "Exchange" not in plan
+    assert "TakeOrderedAndProject" in plan and plan.count("Exchange") == 1
+    assert "Partial" in plan.split("Exchange", 1)[1]  # k rows per task leave it
     read = plan.split("ReadSchema:")[1]
     assert "approved_budget" not in read and "Python" not in plan
 
@@ -146,6 +148,17 @@ def test_toggle():
     assert ordering.toggle("b", "a", "asc") == ("b", "desc")
 
 
+@pytest.mark.parametrize("partitions", [1, 300])
+def test_top_rows_are_those_of_a_plain_sort(spark, partitions):
+    df = spark.range(0, 5000, 1, partitions).selectExpr(
+        "id", "nullif((id * 7919) % 101, 0) AS v"
+    )
+    order = [F.col("v").desc_nulls_last(), F.col("id").asc()]
+    want = [tuple(r) for r in df.orderBy(*order).limit(120).collect()]
+    assert [tuple(r) for r in ordering.top_rows(df, order, 120).collect()] == want
+    assert ordering.top_rows(df, order, 9999).count() == 5000
+
+
 @pytest.mark.parametrize("deep_from", [10**6, 0])
 def test_pages_put_together_are_the_sorted_table(spark, deep_from):
     df = spark.range(103).selectExpr("id", "cast(id % 10 AS string) AS x").repartition(5)

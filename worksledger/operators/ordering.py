@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -14,15 +14,39 @@ from worksledger.operators.filters import ProjectFilter, apply_filter, search
 from worksledger.session import scratch_path
 
 # Up to this many leading rows a page is a bounded top-k; beyond it, see below.
-DEEP_PAGE_ROWS = 100_000
+DEEP_PAGE_ROWS = 1_000
+_GROUPS = 256
+_GROUP = "_partition_group"
+_RANK = "_rank_in_group"
 _ROW = "_sorted_row"
 _PARTITION_BITS = 33  # monotonically_increasing_id: partition << 33 | row
 
 
-def top_k(df: DataFrame, metric: str, k: int, tie_breakers: Sequence[str]) -> DataFrame:
-    """The k largest by ``metric``; ties are cut in a fixed order."""
+def _largest_first(metric: str, tie_breakers: Sequence[str]) -> list[Column]:
     ties = [F.col(c).asc_nulls_last() for c in tie_breakers]
-    return df.orderBy(F.col(metric).desc_nulls_last(), *ties).limit(k)
+    return [F.col(metric).desc_nulls_last(), *ties]
+
+
+def top_k(df: DataFrame, metric: str, k: int, tie_breakers: Sequence[str]) -> DataFrame:
+    """The k largest groups of an aggregate; ties are cut in a fixed order."""
+    return df.orderBy(*_largest_first(metric, tie_breakers)).limit(k)
+
+
+def top_rows(df: DataFrame, order: Sequence[Column], k: int) -> DataFrame:
+    """The first k rows of a table with any number of partitions.
+
+    ``orderBy().limit(k)`` sends k rows from every task to one place, which for a
+    table of a million splits is more than one place can take. Here the tasks'
+    leading rows are merged in a bounded number of groups first, each of which
+    hands on k rows; both steps are map-side limits as in ``dedup_latest``.
+    """
+    in_group = Window.partitionBy(_GROUP).orderBy(*order)
+    leading = (
+        df.withColumn(_GROUP, F.spark_partition_id() % _GROUPS)
+        .withColumn(_RANK, F.row_number().over(in_group))
+        .filter(F.col(_RANK) <= k)
+    )
+    return leading.drop(_GROUP, _RANK).orderBy(*order).limit(k)
 
 
 def explore(
@@ -34,7 +58,9 @@ def explore(
 ) -> DataFrame:
     """The k most expensive projects among those selected and found."""
     found = search(apply_filter(df, selected), term)
-    return top_k(found, "contract_cost", k, tie_breakers).select(*C.EXPLORER_COLUMNS)
+    needed = found.select(*dict.fromkeys([*C.EXPLORER_COLUMNS, *tie_breakers]))
+    order = _largest_first("contract_cost", tie_breakers)
+    return top_rows(needed, order, k).select(*C.EXPLORER_COLUMNS)
 
 
 def explorer_cells(explored: DataFrame) -> DataFrame:
@@ -90,7 +116,7 @@ def paginate(
     """Rows of one zero-based page of the ordered table."""
     start = page * size
     if start + size <= deep_from:
-        return df.orderBy(*order).offset(start).limit(size)
+        return top_rows(df, order, start + size).orderBy(*order).offset(start)
     return _deep_page(df, order, start, size)
 
 
