@@ -297,6 +297,12 @@ def oracle_sql() -> dict[str, str]:
     )
     top8 = f"{_breakdown('type_of_work')} ORDER BY projects DESC, type_of_work LIMIT 8"
     classes = _breakdown("cost_category")
+    nulls = _raw(_union([
+        f"SELECT '{c}' AS \"column\", COUNT(*) - COUNT(\"{c}\") AS nulls, "
+        + _pct(f'(COUNT(*) - COUNT("{c}"))', "COUNT(*)", 1)
+        + " AS pct FROM projects_raw"
+        for c in C.NULL_PROFILE_COLUMNS
+    ]))
     return {
         "read_geojson": _raw(f"SELECT {_RAW_COLUMNS} FROM projects_raw"),
         "read_geojson_splits": _raw(f"SELECT {_RAW_COLUMNS} FROM projects_raw"),
@@ -388,12 +394,7 @@ def oracle_sql() -> dict[str, str]:
             "GROUP BY 1 HAVING COUNT(*) > 1"
         ),
         "row_count": _clean(f"SELECT {_N} AS rows FROM clean"),
-        "null_profile": _raw(_union([
-            f"SELECT '{c}' AS \"column\", COUNT(*) - COUNT(\"{c}\") AS nulls, "
-            + _pct(f'(COUNT(*) - COUNT("{c}"))', "COUNT(*)", 1)
-            + " AS pct FROM projects_raw"
-            for c in C.NULL_PROFILE_COLUMNS
-        ])),
+        "null_profile": nulls,
         "value_distribution": _raw(
             f'SELECT "Region", {_N} AS projects, '
             + _pct("COUNT(*)", "(SELECT COUNT(*) FROM projects_raw)", 1)
@@ -517,6 +518,9 @@ def oracle_sql() -> dict[str, str]:
             f"{_FAILURES} AS failures, {_pct(_PASSED, 'COUNT(*)', 1)} AS score FROM checks",
             _CHECKS,
         ),
+        "ingest_job": nulls,
+        "transform_job": _clean(_BY_YEAR_SUMMARY),
+        "export_job": _clean(_TOP100),
         "verify_job": _clean(
             _union([
                 "SELECT check_group, check_name, passed FROM checks",

@@ -20,7 +20,7 @@ from worksledger.operators import (
     quality,
     summaries,
 )
-from worksledger.plans.jobs import Thresholds, publish, verify
+from worksledger.plans.jobs import Thresholds, export, ingest, publish, transform, verify
 from worksledger.session import scratch_path
 from worksledger.sinks import (
     dataset_sizes,
@@ -217,6 +217,20 @@ def _checks(g: Given) -> DataFrame:
     ).unionByName(quality.summary_years_complete(g.clean, g.summaries[C.YEAR_FILE]))
 
 
+def _ingest(g: Given) -> DataFrame:
+    landed = ingest(g.spark, g.features, scratch_path(g.spark, "ingest"), layout="lines")
+    return landed.profile["nulls"]
+
+
+def _transform(g: Given) -> DataFrame:
+    return transform(g.raw, scratch_path(g.spark, "transform")).summaries[C.YEAR_FILE]
+
+
+def _export(g: Given) -> DataFrame:
+    written = export(_published(g), scratch_path(g.spark, "export"), SOURCE)
+    return written[C.CONTRACTOR_FILE]
+
+
 def _verify(g: Given) -> DataFrame:
     """All checks on a published folder; sizes vary, so without the details."""
     write_manifest(manifest(_published(g), SOURCE), f"{g.base_dir}/{C.MANIFEST_FILE}")
@@ -346,6 +360,9 @@ _QUERIES: dict[str, Query] = {
     "quality_checks_core": _checks,
     "quality_report": lambda g: quality.quality_report(_checks(g)),
     # jobs
+    "ingest_job": _ingest,
+    "transform_job": _transform,
+    "export_job": _export,
     "verify_job": _verify,
     "publish_report": _publish,
 }

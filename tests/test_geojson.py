@@ -120,6 +120,12 @@ def test_inference_is_opt_in(spark, tmp_path):
         read_geojson(spark, write(tmp_path, PRETTY), "infer", max_document_bytes=0)
 
 
+def test_inference_without_any_place(spark, tmp_path):
+    plain = {"type": "Feature", "properties": {"Name": "x"}, "geometry": None}
+    path = write(tmp_path, json.dumps({"type": "FeatureCollection", "features": [plain]}))
+    assert [tuple(r) for r in read_geojson(spark, path, "infer").collect()] == [("x", None)]
+
+
 def test_unknown_layout(spark, tmp_path):
     with pytest.raises(ValueError, match="layout"):
         read_geojson(spark, str(tmp_path), SCHEMA, layout="tiles")

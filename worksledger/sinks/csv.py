@@ -24,7 +24,9 @@ def export_csv(df: DataFrame, path: str) -> bool:
     """Write the rows as CSV; without rows nothing is written (returns False).
 
     Each task writes a part with a header of its own. A top-k result is a single
-    part already; large results stay split.
+    part already; large results stay split. Looking for a first row comes before
+    writing: free for a scan, a second computation for an aggregate that has not
+    been landed.
     """
     if df.isEmpty():
         return False
