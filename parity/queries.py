@@ -20,7 +20,7 @@ from worksledger.operators import (
     quality,
     summaries,
 )
-from worksledger.plans.jobs import Thresholds, export, ingest, publish, transform, verify
+from worksledger.plans.jobs import export, ingest, publish, transform, verify
 from worksledger.session import scratch_path
 from worksledger.sinks import (
     dataset_sizes,
@@ -34,7 +34,7 @@ from worksledger.sources import describe_schema, read_geojson, read_parquet, reg
 Query = Callable[[Given], DataFrame]
 
 # What the given tables can be expected to meet.
-EXPECTED = Thresholds(
+EXPECTED = quality.Thresholds(
     row_bounds=(1, 10**15), year_bounds=(1992, 2026), region_bounds=(2, 20), min_output_bytes=1
 )
 SELECTED = filters.ProjectFilter(region="ASIA", work_type="STANDARD")
@@ -209,9 +209,7 @@ def _paginate(g: Given, **kwargs: int) -> DataFrame:
 
 
 def _checks(g: Given) -> DataFrame:
-    core = quality.table_checks(
-        g.clean, EXPECTED.row_bounds, EXPECTED.year_bounds, EXPECTED.region_bounds
-    )
+    core = quality.table_checks(g.clean, EXPECTED)
     return core.unionByName(
         quality.summary_total_matches(g.clean, g.summaries[C.REGION_FILE])
     ).unionByName(quality.summary_years_complete(g.clean, g.summaries[C.YEAR_FILE]))

@@ -35,7 +35,7 @@ def test_keys_are_compared_as_stored(raw_rows):
         {"ProjectComponentID": "A1", "GlobalID": "a"}, {"ProjectComponentID": "A1 ", "GlobalID": "b"}
     )
     assert column(cleaning.clean_projects(raw), "project_component_id") == ["A1", "A1"]
-    assert cleaning.clean_projects(raw, normalise_key=True).count() == 1
+    assert cleaning.clean_projects(raw, cleaning.CleaningRules(normalise_key=True)).count() == 1
 
 
 def test_blank_region_is_kept_and_missing_key_is_not(raw_rows):
@@ -65,6 +65,14 @@ def test_derived_columns(raw_rows):
     assert flags == (False, False, True, True)
 
 
+def test_rules_can_be_changed(raw_rows):
+    rules = cleaning.CleaningRules(
+        cost_classes=((10.0, "low"),), cost_class_above="high", lat_range=(50, 60), lon_range=(0, 9)
+    )
+    row = cleaning.clean_projects(raw_rows({"Latitude": 55.0, "Longitude": 5.0}), rules).first()
+    assert (row.cost_category, row.is_valid_coordinates) == ("high", True)
+
+
 def test_quality_flags_agree_with_the_clean_table(raw_rows):
     raw = raw_rows({}, {"ProjectComponentID": "C2", "ContractCost": -1.0, "StartDate": "n/a"})
     names = ["has_cost_data", "has_contractor", "has_start_date", "has_completion_date"]

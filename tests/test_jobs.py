@@ -6,12 +6,12 @@ from pyspark.sql import functions as F
 from tests.conftest import BASE
 from worksledger import constants as C
 from worksledger.__main__ import main
-from worksledger.operators.quality import QualityError, enforce
+from worksledger.operators.quality import QualityError, Thresholds, enforce
 from worksledger.plans import jobs
 from worksledger.session import shared_folder, sized_for
 from worksledger.sources import register_views
 
-LOOSE = jobs.Thresholds(row_bounds=(1, 10**9), region_bounds=(1, 20), min_output_bytes=1)
+LOOSE = Thresholds(row_bounds=(1, 10**9), region_bounds=(1, 20), min_output_bytes=1)
 
 
 @pytest.fixture(scope="module")

@@ -149,6 +149,18 @@ def test_a_corrupt_file_is_a_failed_check(spark, tmp_path):
     assert not q.round_trip(spark, str(tmp_path / "bad"), 1).first().passed
 
 
+def test_every_threshold_can_be_changed(raw_rows):
+    clean = clean_projects(raw_rows({"ContractCost": 9e6}, {"ProjectComponentID": "C2"}))
+    strict = q.table_checks(clean).filter("not passed").collect()
+    assert {r.check_name for r in strict} == {
+        "row_count_range", "extreme_ratio", "distinct_regions", "over_budget"
+    }
+    loose = q.Thresholds(
+        row_bounds=(1, 5), extreme_ratio_pct=60.0, region_bounds=(1, 1), over_budget_factor=5.0
+    )
+    assert q.table_checks(clean, loose).filter("not passed").count() == 0
+
+
 def test_report_and_enforce(spark):
     checks = spark.createDataFrame(
         [("g", "b", False, ""), ("g", "a", False, ""), ("g", "c", True, "")],

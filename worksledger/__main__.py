@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from worksledger import constants as C
 from worksledger import session
-from worksledger.operators.quality import quality_report
+from worksledger.operators.quality import Thresholds, quality_report
 from worksledger.plans import jobs
 from worksledger.sinks import export_parquet
 
@@ -74,8 +74,8 @@ def _publish(spark: SparkSession, args: argparse.Namespace) -> bool:
     return report.first()["status"] == "SUCCESS"
 
 
-def _expected(args: argparse.Namespace) -> jobs.Thresholds:
-    return jobs.Thresholds(row_bounds=(args.min_rows, args.max_rows))
+def _expected(args: argparse.Namespace) -> Thresholds:
+    return Thresholds(row_bounds=(args.min_rows, args.max_rows))
 
 
 def _parser() -> argparse.ArgumentParser:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -28,6 +29,19 @@ KEY = "ProjectComponentID"
 EDITED = "EditDate"
 
 
+@dataclass(frozen=True)
+class CleaningRules:
+    """What may differ between datasets."""
+
+    cost_classes: Sequence[tuple[float, str]] = C.COST_CLASSES
+    cost_class_above: str = C.COST_CLASS_ABOVE
+    cost_class_unknown: str = C.COST_CLASS_UNKNOWN
+    lat_range: tuple[float, float] = C.LATITUDE_RANGE
+    lon_range: tuple[float, float] = C.LONGITUDE_RANGE
+    normalise_key: bool = False
+    tie_breakers: Sequence[Column] | None = None
+
+
 def default_tie_breakers() -> list[Column]:
     """Makes the choice between edits of the same date a fixed one."""
     return [
@@ -50,28 +64,20 @@ def quality_flags(df: DataFrame) -> DataFrame:
     )
 
 
-def latest_projects(
-    raw: DataFrame,
-    tie_breakers: Sequence[Column] | None = None,
-    normalise_key: bool = False,
-) -> DataFrame:
+def latest_projects(raw: DataFrame, rules: CleaningRules = CleaningRules()) -> DataFrame:
     """The newest edit of every project component that has a key and a region.
 
     The key test commutes with the ranking and goes first, so rows without a key
     are dropped at the scan. The region test does not: a project whose newest
     edit lacks a region is dropped even if an older edit has one.
     """
-    ties = default_tie_breakers() if tie_breakers is None else tie_breakers
+    ties = default_tie_breakers() if rules.tie_breakers is None else rules.tie_breakers
     keyed = require_not_null(raw, [KEY])
-    newest = dedup_latest(keyed, [KEY], EDITED, ties, normalise_key)
+    newest = dedup_latest(keyed, [KEY], EDITED, ties, rules.normalise_key)
     return require_not_null(newest, ["Region"])
 
 
-def clean_projects(
-    raw: DataFrame,
-    tie_breakers: Sequence[Column] | None = None,
-    normalise_key: bool = False,
-) -> DataFrame:
+def clean_projects(raw: DataFrame, rules: CleaningRules = CleaningRules()) -> DataFrame:
     """One lazy plan: newest edits, then every cleaned and derived column."""
     text = C.IDENTIFIER_COLUMNS | C.LOCATION_COLUMNS | C.DETAIL_COLUMNS | C.OFFICE_COLUMNS
     values = {clean: strip_spaces(name) for name, clean in text.items()}
@@ -81,21 +87,23 @@ def clean_projects(
         "cost_variance": cost_variance("ContractCost", "ABC"),
         "cost_efficiency_ratio": safe_ratio("ContractCost", "ABC"),
         "cost_category": bucketize(
-            "ContractCost", C.COST_CLASSES, C.COST_CLASS_ABOVE, C.COST_CLASS_UNKNOWN
+            "ContractCost", rules.cost_classes, rules.cost_class_above, rules.cost_class_unknown
         ),
         "infra_year": to_int("InfraYear"),
         "funding_year": strip_spaces("FundingYear"),
         "completion_year": to_int("CompletionYear"),
         "longitude": F.col("Longitude").cast("double"),
         "latitude": F.col("Latitude").cast("double"),
-        "is_valid_coordinates": in_bbox("Latitude", "Longitude"),
+        "is_valid_coordinates": in_bbox(
+            "Latitude", "Longitude", rules.lat_range, rules.lon_range
+        ),
         "has_cost_data": is_positive("ContractCost"),
         "has_contractor": is_filled("Contractor"),
         # the dates are parsed once, here, and reused by the outer projection
         "start_date": try_date("StartDate"),
         "actual_completion_date": try_date("CompletionDateActual"),
     }
-    parsed = latest_projects(raw, tie_breakers, normalise_key).select(
+    parsed = latest_projects(raw, rules).select(
         *[expr.alias(name) for name, expr in values.items()]
     )
     return parsed.withColumns(

@@ -24,6 +24,23 @@ class QualityError(RuntimeError):
     """Raised by ``enforce`` when a check failed."""
 
 
+@dataclass(frozen=True)
+class Thresholds:
+    """What the checks expect of a dataset."""
+
+    row_bounds: tuple[int, int] = C.ROW_COUNT_RANGE
+    zero_null_columns: Sequence[str] = C.ZERO_NULL_COLUMNS
+    required_columns: Sequence[str] = C.REQUIRED_COLUMNS
+    year_bounds: tuple[int, int] = C.YEAR_RANGE
+    out_of_bounds_pct: float = C.MAX_OUT_OF_BOUNDS_PCT
+    ratio_bounds: tuple[float, float] = C.RATIO_RANGE
+    extreme_ratio_pct: float = C.MAX_EXTREME_RATIO_PCT
+    region_bounds: tuple[int, int] = C.REGION_COUNT_RANGE
+    over_budget_factor: float = C.OVER_BUDGET_FACTOR
+    over_budget_pct: float = C.MAX_OVER_BUDGET_PCT
+    min_output_bytes: int = C.MIN_OUTPUT_BYTES
+
+
 @dataclass(frozen=True)
 class Check:
     group: str
@@ -273,25 +290,20 @@ def summary_years_complete(clean: DataFrame, year_summary: DataFrame) -> DataFra
 # --- together -----------------------------------------------------------------
 
 
-def table_checks(
-    clean: DataFrame,
-    row_bounds: tuple[int, int] = C.ROW_COUNT_RANGE,
-    year_bounds: tuple[int, int] = C.YEAR_RANGE,
-    region_bounds: tuple[int, int] = C.REGION_COUNT_RANGE,
-) -> DataFrame:
+def table_checks(clean: DataFrame, expected: Thresholds = Thresholds()) -> DataFrame:
     """All checks on the clean table: one fused pass, one grouping by key."""
     fused = run_checks(
         clean,
         [
-            row_count_range(row_bounds),
-            *zero_nulls(),
-            *required_columns(clean),
+            row_count_range(expected.row_bounds),
+            *zero_nulls(expected.zero_null_columns),
+            *required_columns(clean, expected.required_columns),
             no_negative_costs(),
-            year_range(year_bounds),
-            coords_out_of_bounds(),
-            extreme_ratio(),
-            distinct_regions(region_bounds),
-            over_budget(),
+            year_range(expected.year_bounds),
+            coords_out_of_bounds(expected.out_of_bounds_pct),
+            extreme_ratio(expected.ratio_bounds, expected.extreme_ratio_pct),
+            distinct_regions(expected.region_bounds),
+            over_budget(expected.over_budget_factor, expected.over_budget_pct),
         ],
     )
     return fused.unionByName(no_duplicate_keys(clean))

@@ -14,7 +14,8 @@ from pyspark.sql import types as T
 
 from worksledger import constants as C
 from worksledger.operators import profiling, quality, summaries
-from worksledger.operators.cleaning import KEY, clean_projects
+from worksledger.operators.cleaning import KEY, CleaningRules, clean_projects
+from worksledger.operators.quality import Thresholds
 from worksledger.schemas import RAW_SCHEMA
 from worksledger.session import sized_for
 from worksledger.sinks import export_parquet, manifest, materialise, write_manifest
@@ -40,16 +41,6 @@ REPORT_SCHEMA = T.StructType(
 )
 
 
-@dataclass(frozen=True)
-class Thresholds:
-    """What the verification expects of a dataset."""
-
-    row_bounds: tuple[int, int] = C.ROW_COUNT_RANGE
-    year_bounds: tuple[int, int] = C.YEAR_RANGE
-    region_bounds: tuple[int, int] = C.REGION_COUNT_RANGE
-    min_output_bytes: int = C.MIN_OUTPUT_BYTES
-
-
 @dataclass(frozen=True)
 class Ingested:
     raw: DataFrame
@@ -87,13 +78,15 @@ def raw_profile(raw: DataFrame) -> dict[str, DataFrame]:
     }
 
 
-def transform(raw: DataFrame, land_at: str | None = None) -> Transformed:
+def transform(
+    raw: DataFrame, land_at: str | None = None, rules: CleaningRules = CleaningRules()
+) -> Transformed:
     """Clean table, summaries and profiles.
 
     With ``land_at`` the clean table is written there first and everything else
     reads the columns it needs from Parquet; without, all stay one lazy plan each.
     """
-    clean, rows = clean_projects(raw), None
+    clean, rows = clean_projects(raw, rules), None
     if land_at:
         clean, rows = materialise(clean, land_at, CLUSTER_BY)
     return Transformed(clean, rows, summary_tables(clean), clean_profile(raw, clean))
@@ -142,9 +135,7 @@ def verify(
     main = f"{base}/{C.CLEAN_FILE}"
     counted = clean.count() if rows is None else rows
     parts = [
-        quality.table_checks(
-            clean, expected.row_bounds, expected.year_bounds, expected.region_bounds
-        ),
+        quality.table_checks(clean, expected),
         quality.outputs_exist(spark, base, [*C.VIEWS.values(), C.MANIFEST_FILE]),
         quality.min_output_size(spark, main, expected.min_output_bytes),
         quality.round_trip(spark, main, counted),
@@ -161,6 +152,7 @@ def publish(
     source: str = "",
     schema: T.StructType | str = RAW_SCHEMA,
     layout: str = "collection",
+    rules: CleaningRules = CleaningRules(),
     expected: Thresholds = Thresholds(),
     promote: str = "on_pass",
 ) -> DataFrame:
@@ -181,7 +173,7 @@ def publish(
     try:
         with sized_for(spark, _bytes_below(spark, src)):
             landed = ingest(spark, src, f"{run_dir}/raw", schema, layout)
-            result = transform(landed.raw, f"{run_dir}/{C.CLEAN_FILE}")
+            result = transform(landed.raw, f"{run_dir}/{C.CLEAN_FILE}", rules)
             written = export_parquet(result.summaries, run_dir)
             export_parquet(landed.profile | result.profile, f"{run_dir}/profile")
         tables = {C.CLEAN_FILE: result.clean, **written}
