@@ -15,6 +15,9 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.parquet.compression.codec": "snappy",
+    # one run compiles more than the default 100 stages, and a session that answers
+    # interactive questions should not compile them again each time
+    "spark.sql.codegen.cache.maxEntries": "1000",
 }
 
 
