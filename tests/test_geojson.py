@@ -105,6 +105,23 @@ def test_lines_refuse_other_layouts(spark, tmp_path, text):
         read_geojson(spark, write(tmp_path, text), SCHEMA, layout="lines").collect()
 
 
+def test_bare_features_are_no_collection(spark, tmp_path):
+    path = write(tmp_path, NDJSON)
+    with pytest.raises(Exception, match="expected a FeatureCollection"):
+        read_geojson(spark, path, SCHEMA).collect()
+    assert found(read_geojson(spark, path, SCHEMA, max_document_bytes=0)) == WANT
+
+
+@pytest.mark.parametrize("blank", ["\n\t", "\r\n  "])
+def test_any_blanks_between_members(spark, tmp_path, blank):
+    text = COMPACT.replace('"Feature",', f'"Feature"{blank},').replace("{", "{" + blank, 1)
+    path = write(tmp_path, blank + text)
+    assert found(read_geojson(spark, path, SCHEMA)) == WANT
+    assert found(read_geojson(spark, path, SCHEMA, max_document_bytes=0)) == WANT
+    lines = write(tmp_path, PER_LINE.replace("\n{", "\n\t {"), "lines")
+    assert found(read_geojson(spark, lines, SCHEMA, layout="lines")) == WANT
+
+
 def test_malformed_features_raise(spark, tmp_path):
     bad = NDJSON.replace('"Cost": 1.5', '"Cost": "many"')
     with pytest.raises(Exception, match="MALFORMED"):
