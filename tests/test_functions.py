@@ -166,7 +166,7 @@ def test_plain_number_reads_like_a_browser_number(spark):
 
 
 def test_exact_sum_is_exact_and_order_independent(spark):
-    values = [0.1] * 10 + [1e15, -1e15, 123456789.01, 0.01, -0.07, 999.9999, 1000.0001]
+    values = [0.1] * 10 + [9e12, -9e12, 123456789.01, 0.01, -0.07, 999.9999, 1000.0001]
     df = spark.createDataFrame([(v,) for v in values], "x double")
     want = math.fsum([1.0, 123456789.01, 0.01, -0.07, 2000.0])
     for parts in (1, 3, 7):
@@ -174,6 +174,24 @@ def test_exact_sum_is_exact_and_order_independent(spark):
         assert got == want
 
 
+@pytest.mark.parametrize(
+    ("values", "want"),
+    [
+        ([1e300, 1.0], 1e300),
+        ([1e300], 1e300),
+        ([-1e14, 0.25], -1e14 + 0.25),
+        ([float("inf"), 1.0], float("inf")),
+        ([1e22, -1e22, 5.5], 5.5),
+        ([None, 2.5], 2.5),
+        ([-0.1, -0.2, -999.9], -1000.2),
+    ],
+)
+def test_values_beyond_money_do_not_stop_a_sum(spark, values, want):
+    df = spark.createDataFrame([(v,) for v in values], "x double")
+    merged = df.groupBy("x").agg(*fn.sum_parts("x")).agg(fn.merged_sum("x").alias("s"))
+    assert df.agg(fn.exact_sum("x").alias("s")).first().s == want == merged.first().s
+
+
 def test_exact_avg_skips_nulls(spark):
     df = spark.createDataFrame([(1.0,), (None,), (2.0,)], "x double")
     row = df.agg(fn.exact_avg("x").alias("a")).first()
