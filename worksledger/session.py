@@ -63,11 +63,14 @@ def sized_for(spark: SparkSession, input_bytes: int) -> Iterator[None]:
 def shared_folder(spark: SparkSession) -> str:
     """The folder every executor can reach, as the cluster names it.
 
-    Only a session that names none (tests, a laptop) gets a temporary one.
+    Only a local session that names none (tests, a laptop) gets a temporary one; on a
+    cluster such a folder would be another one on each machine, so that is an error.
     """
     context = spark.sparkContext
     base = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if not base:
+        if not context.master.split("[")[0] == "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that all machines share")
         context.setCheckpointDir(tempfile.mkdtemp(prefix="worksledger-"))
         base = context.getCheckpointDir()
     return base.rstrip("/")
