@@ -7,15 +7,24 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import public_tokenizers
+
 import corpus_pipeline
-from worksledger.llm import quality, secrets
+from worksledger.llm import bpe, packing, quality, secrets, tokenfile
 from worksledger.llm.common import table
+from worksledger.session import scratch_path
 
 
 def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.digests(secrets.find_secrets(table(spark, sf_dir, "documents")))
 
 
+def op3_token_file(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = scratch_path(spark, "tokens")
+    tokenfile.write(table(spark, sf_dir, "documents"), folder, public_tokenizers.path("byte_bpe_50k.json"), end_id=2)
+    return tokenfile.read(spark, folder, digests=True)
+
+
 def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept = quality.ledger(table(spark, sf_dir, "documents"))
     base_failed = F.col("fail_bits").bitwiseAND(F.lit(quality.BASE)) != 0
@@ -32,6 +41,19 @@ def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_pattern_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    packed = packing.pack(
+        table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), end_id=0, size=2048, ids=False
+    )
+    return packed.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
+
+
+def op9_bpe_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    ids = bpe.encode(table(spark, sf_dir, "documents"), path, public_tokenizers.PATTERN)
+    return bpe.decode(ids, path, digests=True)
+
+
 _WORD = r"[^\x20\x09-\x0D]"
 OP4_SQL = rf"""
 WITH docs AS (
@@ -66,7 +88,7 @@ FROM ledger
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    named = {f.__name__: f for f in (op2_secret_scan, op4_quality_rules)}
+    named = {f.__name__: f for f in (op2_secret_scan, op3_token_file, op4_quality_rules, op5_pattern_packing, op9_bpe_roundtrip)}
     return named | {"pipeline": corpus_pipeline.run}
 
 
