@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 import public_tokenizers
 
 import corpus_pipeline
-from worksledger.llm import bpe, packing, quality, secrets, tokenfile
+from worksledger.llm import bpe, packing, pivots, quality, secrets, tokenfile
 from worksledger.llm.common import table
 from worksledger.session import scratch_path
 
@@ -48,6 +48,10 @@ def op5_pattern_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
 
 
+def op7_pivot_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pivots.top_k(table(spark, sf_dir, "embeddings"), F.col("id") % 20 == 0, k=20)
+
+
 def op9_bpe_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
     ids = bpe.encode(table(spark, sf_dir, "documents"), path, public_tokenizers.PATTERN)
@@ -86,11 +90,26 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
 FROM ledger
 """
 
+OP7_SQL = """
+WITH vectors AS (
+  SELECT vec_id AS id, row_number() OVER () AS r, list_transform(embedding, lambda x: CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), scores AS (
+  SELECT q.id AS query_id, c.id AS vec_id, CAST(list_dot_product(CAST(q.v AS DOUBLE[]), CAST(c.v AS DOUBLE[])) AS BIGINT) AS score
+  FROM vectors q JOIN vectors c ON q.id % 20 = 0 AND c.id <> q.id
+), ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM scores
+)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM ranked WHERE rank <= 20
+"""
+
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    named = {f.__name__: f for f in (op2_secret_scan, op3_token_file, op4_quality_rules, op5_pattern_packing, op9_bpe_roundtrip)}
+    named = {f.__name__: f for f in (op2_secret_scan, op3_token_file, op4_quality_rules, op5_pattern_packing, op7_pivot_top_k, op9_bpe_roundtrip)}
     return named | {"pipeline": corpus_pipeline.run}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op4_quality_rules": OP4_SQL}
+    return {"op4_quality_rules": OP4_SQL, "op7_pivot_top_k": OP7_SQL}
