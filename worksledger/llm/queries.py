@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 import public_tokenizers
 
 import corpus_pipeline
-from worksledger.llm import bpe, packing, pivots, quality, secrets, tokenfile
+from worksledger.llm import bpe, langid, packing, pivots, quality, secrets, tokenfile
 from worksledger.llm.common import table
 from worksledger.session import scratch_path
 
@@ -48,6 +48,13 @@ def op5_pattern_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
 
 
+def op6_gru_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents")
+    net = langid.fit(documents.where(langid.fold() != 2), "text", "lang", F.xxhash64("doc_id"))
+    found = langid.identify(documents.select("doc_id", "text"), net)
+    return found.select("doc_id", F.coalesce(langid.fold() == 2, F.lit(False)).alias("held_out"), "lang_pred", "score")
+
+
 def op7_pivot_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pivots.top_k(table(spark, sf_dir, "embeddings"), F.col("id") % 20 == 0, k=20)
 
@@ -107,7 +114,7 @@ SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM ranked WHERE
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    named = {f.__name__: f for f in (op2_secret_scan, op3_token_file, op4_quality_rules, op5_pattern_packing, op7_pivot_top_k, op9_bpe_roundtrip)}
+    named = {f.__name__: f for f in (op2_secret_scan, op3_token_file, op4_quality_rules, op5_pattern_packing, op6_gru_language, op7_pivot_top_k, op9_bpe_roundtrip)}
     return named | {"pipeline": corpus_pipeline.run}
 
 
