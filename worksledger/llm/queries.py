@@ -10,11 +10,19 @@ from pyspark.sql import functions as F
 import public_tokenizers
 
 import corpus_pipeline
-from worksledger.llm import bpe, langid, packing, pivots, quality, secrets, tokenfile
+from worksledger.llm import bpe, langid, packing, pivots, quality, secrets, tokenfile, warc
 from worksledger.llm.common import table
 from worksledger.session import scratch_path
 
 
+DATE = "2024-01-01T00:00:00Z"
+
+
+def op1_warc_derivatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    made = warc.serialise(warc.derivatives(warc.responses(table(spark, sf_dir, "pages"), DATE)))
+    return made.withColumn("warc_sha256", F.sha2("warc", 256)).drop("warc")
+
+
 def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.digests(secrets.find_secrets(table(spark, sf_dir, "documents")))
 
@@ -65,6 +73,51 @@ def op9_bpe_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.decode(ids, path, digests=True)
 
 
+def _urn(name: str) -> str:
+    parts = ", ".join(f"substr(md5({name}), {a}, {n})" for a, n in ((1, 8), (9, 4), (13, 4), (17, 4), (21, 12)))
+    return f"'<urn:uuid:' || concat_ws('-', {parts}) || '>'"
+
+
+def _resolved(text: str) -> str:
+    for name, sign in warc.ENTITIES:
+        text = f"replace({text}, '{name}', '{sign.replace(chr(39), chr(39) * 2)}')"
+    return text
+
+
+_CRLF = "chr(13) || chr(10)"
+OP1_SQL = rf"""
+WITH pages_ AS (
+  SELECT page_id, url, coalesce(html, '') AS payload, sha256(coalesce(html, '')) AS sha FROM pages
+), responses AS (
+  SELECT *, {_urn("concat_ws('|', 'response', coalesce(CAST(page_id AS VARCHAR), ''), coalesce(url, ''), sha)")} AS refers_to,
+    'HTTP/1.1 200 OK' || {_CRLF} || 'Content-Type: text/html; charset=utf-8' || {_CRLF} || 'Content-Length: ' || strlen(payload) AS source_headers,
+    'sha256:' || sha AS source_digest,
+    regexp_extract_all(payload, '{warc.LINK}', 1) AS links,
+    regexp_replace({_resolved(f"coalesce(regexp_extract(payload, '{warc.TITLE}', 1), '')")}, '[\t\r\n\x0B\f ]+', ' ', 'g') AS title,
+    {_resolved(f"regexp_replace(regexp_replace(regexp_replace(payload, '{warc.DROPPED}', '', 'g'), '{warc.LINE_ENDS}', chr(10), 'g'), '{warc.TAG}', '', 'g')")} AS text
+  FROM pages_
+), records AS (
+  SELECT *, 'metadata' AS record_type, 'application/warc-fields' AS content_type,
+    'source-record: ' || refers_to || {_CRLF} || 'source-status: 200' || {_CRLF} || 'source-digest: ' || source_digest || {_CRLF}
+      || 'title: ' || title || {_CRLF} || 'outlinks: ' || len(links) || {_CRLF}
+      || array_to_string(list_transform(links, lambda x: 'outlink: ' || x || {_CRLF}), '') AS block
+  FROM responses
+  UNION ALL
+  SELECT *, 'conversion', 'text/plain; charset=utf-8',
+    regexp_replace(regexp_replace(regexp_replace(text, '[\t\r\x0B\f ]+', ' ', 'g'), ' ?\n[ \n]*', chr(10), 'g'), '^[ \n]+|[ \n]+$', '', 'g')
+  FROM responses
+), made AS (
+  SELECT page_id, record_type, {_urn("concat_ws('|', record_type, refers_to)")} AS record_id, refers_to, url AS target_uri, '{DATE}' AS warc_date,
+    source_headers, source_digest, content_type, strlen(block) AS content_length, 'sha256:' || sha256(block) AS block_digest, block
+  FROM records
+)
+SELECT *, sha256('WARC/1.1' || {_CRLF} || 'WARC-Type: ' || record_type || {_CRLF} || 'WARC-Record-ID: ' || record_id || {_CRLF}
+  || 'WARC-Refers-To: ' || refers_to || {_CRLF} || coalesce('WARC-Target-URI: ' || target_uri || {_CRLF}, '') || 'WARC-Date: ' || warc_date || {_CRLF}
+  || 'WARC-Block-Digest: ' || block_digest || {_CRLF} || 'WARC-Source-Payload-Digest: ' || source_digest || {_CRLF}
+  || 'Content-Type: ' || content_type || {_CRLF} || 'Content-Length: ' || content_length || {_CRLF} || {_CRLF} || block || {_CRLF} || {_CRLF}) AS warc_sha256
+FROM made
+"""
+
 _WORD = r"[^\x20\x09-\x0D]"
 OP4_SQL = rf"""
 WITH docs AS (
@@ -114,9 +167,9 @@ SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM ranked WHERE
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    named = {f.__name__: f for f in (op2_secret_scan, op3_token_file, op4_quality_rules, op5_pattern_packing, op6_gru_language, op7_pivot_top_k, op9_bpe_roundtrip)}
+    named = {f.__name__: f for f in (op1_warc_derivatives, op2_secret_scan, op3_token_file, op4_quality_rules, op5_pattern_packing, op6_gru_language, op7_pivot_top_k, op9_bpe_roundtrip)}
     return named | {"pipeline": corpus_pipeline.run}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op4_quality_rules": OP4_SQL, "op7_pivot_top_k": OP7_SQL}
+    return {"op1_warc_derivatives": OP1_SQL, "op4_quality_rules": OP4_SQL, "op7_pivot_top_k": OP7_SQL}
