@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 import public_tokenizers
 
 import corpus_pipeline
-from worksledger.llm import bpe, langid, packing, pivots, quality, secrets, tokenfile, warc
+from worksledger.llm import bpe, jaccard, langid, packing, pivots, quality, secrets, tokenfile, warc
 from worksledger.llm.common import table
 from worksledger.session import scratch_path
 
@@ -67,6 +67,10 @@ def op7_pivot_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pivots.top_k(table(spark, sf_dir, "embeddings"), F.col("id") % 20 == 0, k=20)
 
 
+def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.join(table(spark, sf_dir, "documents"), words=3, percent=90)
+
+
 def op9_bpe_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
     ids = bpe.encode(table(spark, sf_dir, "documents"), path, public_tokenizers.PATTERN)
@@ -167,7 +171,7 @@ SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM ranked WHERE
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    named = {f.__name__: f for f in (op1_warc_derivatives, op2_secret_scan, op3_token_file, op4_quality_rules, op5_pattern_packing, op6_gru_language, op7_pivot_top_k, op9_bpe_roundtrip)}
+    named = {f.__name__: f for f in (op1_warc_derivatives, op2_secret_scan, op3_token_file, op4_quality_rules, op5_pattern_packing, op6_gru_language, op7_pivot_top_k, op8_jaccard_join, op9_bpe_roundtrip)}
     return named | {"pipeline": corpus_pipeline.run}
 
 
