@@ -16,12 +16,19 @@ import numpy as np
 from worksledger.llm.common import ragged
 
 #: Pieces that one worker remembers.
-LIMIT = 400_000
+LIMIT = 1_000_000
 
 #: White space beyond ASCII (and the ASCII separators that only some libraries count as such).
 RARE_SPACE = re.compile(r"[\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
-_SPACED = re.compile(r" ?[^ \t-\r]+|[ \t-\r]+(?![^ \t-\r])|[ \t-\r]+")
-_WORDS = re.compile(r"[^ \t-\r]+")
+_LETTERS = r"A-Za-z0-9\xc0-\xd6\xd8-\xf6\xf8-\xff"
+_SIGNS = r".,;:!?|#$%&*()\[\]{}/=+<>@^_~\"`\-"
+_BLANK = r" \t-\r"
+# letters and signs part where neither an apostrophe nor any other character is near
+_SPACED = re.compile(
+    rf" ?[{_LETTERS}]++(?![^{_SIGNS}{_BLANK}])| ?[{_SIGNS}]++(?![^{_LETTERS}{_BLANK}])"
+    rf"| ?[^{_BLANK}]+|[{_BLANK}]+(?![^{_BLANK}])|[{_BLANK}]+"
+)
+_WORDS = re.compile(rf"[{_LETTERS}]++(?![^{_SIGNS}{_BLANK}])|[{_SIGNS}]++(?![^{_LETTERS}{_BLANK}])|[^{_BLANK}]+")
 
 
 def spaced_pieces(text: str) -> list[str]:
@@ -81,16 +88,29 @@ def library_lexicon(path: str, split: Callable[[str], list[str]]) -> Lexicon:
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
-        tokenizer = Tokenizer.from_file(path)
-        tokenizer.encode_special_tokens = True  # names of special tokens are ordinary text
+        joined, plain = Tokenizer.from_file(path), Tokenizer.from_file(path)
+        plain.encode_special_tokens = True  # names of special tokens are ordinary text
+        mark = "<|endoftext|>"
+        mark_id = joined.token_to_id(mark)
 
         def encode(pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
-            ids, counts = [], np.zeros(len(pieces), np.int64)
-            for k in range(0, len(pieces), 10_000):
-                for j, x in enumerate(tokenizer.encode_batch(pieces[k : k + 10_000], add_special_tokens=False), k):
-                    ids.append(np.asarray(x.ids, np.int32))
-                    counts[j] = len(x.ids)
-            return np.concatenate(ids) if ids else np.zeros(0, np.int32), counts
+            """Many pieces in one call, with a special token between them."""
+            safe = [x for x in pieces if "<|" not in x] if mark_id is not None else []
+            runs = [mark.join(safe[k : k + 1000]) + mark for k in range(0, len(safe), 1000)]
+            parts = [np.asarray(x.ids, np.int32) for x in joined.encode_batch_fast(runs, add_special_tokens=False)]
+            flat = np.concatenate(parts) if parts else np.zeros(0, np.int32)
+            ends = np.flatnonzero(flat == mark_id) if parts else np.zeros(0, np.int64)
+            counts, ids = np.diff(ends, prepend=-1) - 1, flat[flat != mark_id]
+            if len(safe) < len(pieces):
+                is_safe = np.array(["<|" not in x and mark_id is not None for x in pieces])
+                rest = [np.asarray(x.ids, np.int32) for x in plain.encode_batch([x for x, s in zip(pieces, is_safe) if not s], add_special_tokens=False)]
+                every = np.zeros(len(pieces), np.int64)
+                every[is_safe], every[~is_safe] = counts, [len(x) for x in rest]
+                which = np.repeat(is_safe, every)
+                both = np.empty(len(which), np.int32)
+                both[which], both[~which] = ids, np.concatenate(rest)
+                ids, counts = both, every
+            return ids, counts
 
         _KNOWN[key] = Lexicon(encode, split)
     return _KNOWN[key]
