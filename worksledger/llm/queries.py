@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 import public_tokenizers
 
 import corpus_pipeline
-from worksledger.llm import bpe, jaccard, langid, packing, pivots, quality, secrets, tokenfile, warc
+from worksledger.llm import bpe, jaccard, langid, packing, pivots, quality, secrets, suffixes, tokenfile, warc
 from worksledger.llm.common import table
 from worksledger.session import scratch_path
 
@@ -77,6 +77,10 @@ def op9_bpe_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.decode(ids, path, digests=True)
 
 
+def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffixes.dedup(table(spark, sf_dir, "documents"), length=400, digests=True)
+
+
 def _urn(name: str) -> str:
     parts = ", ".join(f"substr(md5({name}), {a}, {n})" for a, n in ((1, 8), (9, 4), (13, 4), (17, 4), (21, 12)))
     return f"'<urn:uuid:' || concat_ws('-', {parts}) || '>'"
@@ -171,7 +175,7 @@ SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM ranked WHERE
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    named = {f.__name__: f for f in (op1_warc_derivatives, op2_secret_scan, op3_token_file, op4_quality_rules, op5_pattern_packing, op6_gru_language, op7_pivot_top_k, op8_jaccard_join, op9_bpe_roundtrip)}
+    named = {f.__name__: f for f in (op1_warc_derivatives, op2_secret_scan, op3_token_file, op4_quality_rules, op5_pattern_packing, op6_gru_language, op7_pivot_top_k, op8_jaccard_join, op9_bpe_roundtrip, op10_suffix_dedup)}
     return named | {"pipeline": corpus_pipeline.run}
 
 
