@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from worksledger.session import scratch_path
 
 #: Texts are handled in pieces of about this many bytes, whatever the size of a batch.
-PIECE_BYTES = 4 << 20
+PIECE_BYTES = 2 << 20
 
 U64 = np.uint64
 _M1, _M2 = U64(0xBF58476D1CE4E5B9), U64(0x94D049BB133111EB)
@@ -37,26 +37,26 @@ def mix64(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> U64(31))
 
 
-def pieces(batch: pa.RecordBatch, column: int) -> Iterator[pa.RecordBatch]:
-    """Consecutive slices of a batch with about PIECE_BYTES of text each, one row at least."""
+def pieces(batch: pa.RecordBatch, column: int, size: int = PIECE_BYTES) -> Iterator[pa.RecordBatch]:
+    """Consecutive slices of a batch with about `size` bytes of text each, one row at least."""
     lengths = batch.column(column).cast(pa.large_string()).cast(pa.large_binary())
     offsets = np.frombuffer(lengths.buffers()[1], dtype=np.int64)[lengths.offset :][: len(lengths) + 1]
     start = 0
     while start < len(lengths):
-        end = int(np.searchsorted(offsets, offsets[start] + PIECE_BYTES, side="right")) - 1
+        end = int(np.searchsorted(offsets, offsets[start] + size, side="right")) - 1
         end = min(max(end, start + 1), len(lengths))
         yield batch.slice(start, end - start)
         start = end
 
 
 def map_texts(
-    df: DataFrame, schema: str, work: Callable[[pa.RecordBatch], pa.RecordBatch | None], column: int = 1
+    df: DataFrame, schema: str, work: Callable[[pa.RecordBatch], pa.RecordBatch | None], column: int = 1, size: int = PIECE_BYTES
 ) -> DataFrame:
     """Apply work to bounded slices of df; column is the place of the text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for piece in pieces(batch, column):
+            for piece in pieces(batch, column, size):
                 out = work(piece)
                 if out is not None and out.num_rows:
                     yield out

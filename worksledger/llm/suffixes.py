@@ -43,6 +43,8 @@ HOT = 512
 #: Records of a bucket, about.
 BUCKET = 40_000
 BITMAP = 26
+#: Bytes of text at a time; each takes about a hundred of working memory.
+PIECE = 1 << 20
 
 _SALTS = mix64(np.arange(1, 257, dtype=U64)) | U64(1)
 RECORD = "fp long, cfp long, id long, b long, p long, low int, high int, chunk int"
@@ -141,7 +143,7 @@ def records(docs: DataFrame, length: int) -> DataFrame:
             [x.split()[0] for x in RECORD.split(", ")],
         )
 
-    return map_texts(docs, RECORD, work, 2)
+    return map_texts(docs, RECORD, work, 2, PIECE)
 
 
 _LIST = "array<struct<p:bigint,low:int,high:int,chunk:int,fp:bigint,k:bigint>>"
@@ -187,7 +189,7 @@ def finer(texts: DataFrame, before: int, chunk: int, length: int) -> DataFrame:
             [x.split()[0] for x in RECORD.split(", ")],
         )
 
-    return map_texts(texts, RECORD, work, 2)
+    return map_texts(texts, RECORD, work, 2, PIECE)
 
 
 SUFFIX = "lead binary, fp long, chunk int, low int, high int, k long, id long, b long, p long, bytes binary"
@@ -211,7 +213,7 @@ def suffixes(texts: DataFrame, chunk: int, length: int) -> DataFrame:
             [x.split()[0] for x in SUFFIX.split(", ")],
         )
 
-    return map_texts(texts, SUFFIX, work, 2)
+    return map_texts(texts, SUFFIX, work, 2, PIECE)
 
 
 def multikey_sort(keys: np.ndarray) -> np.ndarray:
