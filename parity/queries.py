@@ -52,7 +52,7 @@ def _read_geojson(g: Given) -> DataFrame:
 
 def _read_geojson_splits(g: Given) -> DataFrame:
     """The same features through the reader for collections of any size."""
-    return read_geojson(g.spark, g.features, max_document_bytes=0).drop("geometry")
+    return read_geojson(g.spark, g.features, layout="splits").drop("geometry")
 
 
 def _read_parquet(g: Given) -> DataFrame:

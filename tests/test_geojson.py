@@ -53,10 +53,10 @@ NDJSON = "\n".join(json.dumps(f) for f in FEATURES)
 
 
 @pytest.mark.parametrize("text", [COMPACT, PRETTY, PER_LINE, HEAD_ON_FIRST])
-@pytest.mark.parametrize("limit", [10**9, 0], ids=["document", "splits"])
-def test_collections_of_any_formatting(spark, tmp_path, text, limit):
+@pytest.mark.parametrize("layout", ["collection", "splits"])
+def test_collections_of_any_formatting(spark, tmp_path, text, layout):
     path = write(tmp_path, text)
-    df = read_geojson(spark, path, SCHEMA, max_document_bytes=limit)
+    df = read_geojson(spark, path, SCHEMA, layout=layout)
     assert found(df) == WANT
     assert df.columns == ["Name", "Cost", "geometry"]
     places = {r.Name: r.geometry for r in df.collect()}
@@ -76,7 +76,7 @@ def test_splits_lose_nothing_at_split_borders(spark, tmp_path):
     spark.conf.set("spark.sql.files.maxPartitionBytes", "7001b")
     spark.conf.set("spark.sql.files.openCostInBytes", "0")
     try:
-        df = read_geojson(spark, path, SCHEMA, max_document_bytes=0)
+        df = read_geojson(spark, path, SCHEMA, layout="splits")
         assert df.rdd.getNumPartitions() > 20
         assert found(df) == sorted(((f"n{i}", float(i)) for i in range(3000)), key=str)
     finally:
@@ -90,13 +90,15 @@ def test_splits_lose_nothing_at_split_borders(spark, tmp_path):
         [{"properties": {"Name": "late type"}, "geometry": None, "type": "Feature"}],
         [{"properties": {"Name": "late type"}, "type": "Feature", "geometry": None}] * 2,
         [feature("x", 1.0, Kind="Feature")],
+        [feature("a", 1.0), {"properties": {"Name": "no type"}, "geometry": None}, feature("b", 2.0)],
+        [feature("a", 1.0), {"id": 7} | feature("b", 2.0)],
     ],
 )
 def test_splits_refuse_what_they_cannot_cut(spark, tmp_path, features):
     path = write(tmp_path, json.dumps({"type": "FeatureCollection", "features": features}))
     assert read_geojson(spark, path, SCHEMA).count() == len(features)
-    with pytest.raises(Exception, match="type.*before|MALFORMED"):
-        read_geojson(spark, path, SCHEMA, max_document_bytes=0).collect()
+    with pytest.raises(Exception, match="start with .type|MALFORMED"):
+        read_geojson(spark, path, SCHEMA, layout="splits").collect()
 
 
 @pytest.mark.parametrize("text", [COMPACT, PRETTY])
@@ -107,9 +109,9 @@ def test_lines_refuse_other_layouts(spark, tmp_path, text):
 
 def test_bare_features_are_no_collection(spark, tmp_path):
     path = write(tmp_path, NDJSON)
-    with pytest.raises(Exception, match="expected a FeatureCollection"):
+    with pytest.raises(Exception, match="expected one FeatureCollection|MALFORMED"):
         read_geojson(spark, path, SCHEMA).collect()
-    assert found(read_geojson(spark, path, SCHEMA, max_document_bytes=0)) == WANT
+    assert found(read_geojson(spark, path, SCHEMA, layout="splits")) == WANT
 
 
 @pytest.mark.parametrize("blank", ["\n\t", "\r\n  "])
@@ -117,7 +119,7 @@ def test_any_blanks_between_members(spark, tmp_path, blank):
     text = COMPACT.replace('"Feature",', f'"Feature"{blank},').replace("{", "{" + blank, 1)
     path = write(tmp_path, blank + text)
     assert found(read_geojson(spark, path, SCHEMA)) == WANT
-    assert found(read_geojson(spark, path, SCHEMA, max_document_bytes=0)) == WANT
+    assert found(read_geojson(spark, path, SCHEMA, layout="splits")) == WANT
     lines = write(tmp_path, PER_LINE.replace("\n{", "\n\t {"), "lines")
     assert found(read_geojson(spark, lines, SCHEMA, layout="lines")) == WANT
 
@@ -134,7 +136,7 @@ def test_inference_is_opt_in(spark, tmp_path):
     lines = read_geojson(spark, write(tmp_path, NDJSON, "l"), "infer", layout="lines")
     assert sorted(lines.columns) == sorted(df.columns) and lines.count() == 4
     with pytest.raises(ValueError, match="pass a schema"):
-        read_geojson(spark, write(tmp_path, PRETTY), "infer", max_document_bytes=0)
+        read_geojson(spark, write(tmp_path, PRETTY), "infer", layout="splits")
 
 
 def test_inference_without_any_place(spark, tmp_path):
@@ -152,11 +154,39 @@ def test_a_folder_of_collections(spark, tmp_path):
     for i in range(3):
         write(tmp_path, COMPACT, f"{i}.geojson")
     assert read_geojson(spark, str(tmp_path), SCHEMA).count() == 12
-    assert read_geojson(spark, str(tmp_path), SCHEMA, max_document_bytes=0).count() == 12
+    assert read_geojson(spark, str(tmp_path), SCHEMA, layout="splits").count() == 12
 
 
-@pytest.mark.parametrize("limit", [10**9, 0])
-def test_an_empty_collection_has_no_rows(spark, tmp_path, limit):
+@pytest.mark.parametrize("layout", ["collection", "splits"])
+def test_an_empty_collection_has_no_rows(spark, tmp_path, layout):
     path = write(tmp_path, '{"type":"FeatureCollection","features":[]}')
-    assert read_geojson(spark, path, SCHEMA, max_document_bytes=limit).count() == 0
+    assert read_geojson(spark, path, SCHEMA, layout=layout).count() == 0
     assert read_geojson(spark, path, SCHEMA, layout="lines").count() == 0
+
+
+def test_large_files_are_refused_not_read_otherwise(spark, tmp_path):
+    path = write(tmp_path, COMPACT)
+    with pytest.raises(ValueError, match="bytes"):
+        read_geojson(spark, path, SCHEMA, max_document_bytes=len(COMPACT) // 2)
+
+
+@pytest.mark.parametrize("layout", ["collection", "splits"])
+@pytest.mark.parametrize("text", [COMPACT + "\n" + COMPACT, COMPACT[: len(COMPACT) // 2], COMPACT + " more"])
+def test_more_or_less_than_a_collection_is_refused(spark, tmp_path, layout, text):
+    with pytest.raises(Exception, match="FeatureCollection|MALFORMED|start with"):
+        read_geojson(spark, write(tmp_path, text), SCHEMA, layout=layout).collect()
+
+
+@pytest.mark.parametrize(
+    "line",
+    ['{"type":"Fea', '{"properties":{"Name":"no type"},"geometry":null}', '{"type":"Feature"} {}', "text"],
+)
+def test_every_line_must_be_a_feature(spark, tmp_path, line):
+    good = json.dumps(FEATURES[0])
+    with pytest.raises(Exception, match="one feature per line|MALFORMED"):
+        read_geojson(spark, write(tmp_path, f"{good}\n{line}\n{good}"), SCHEMA, layout="lines").collect()
+
+
+def test_lines_take_any_order_of_members(spark, tmp_path):
+    text = json.dumps({"properties": {"Name": "x", "Kind": "Feature", "tags": [1]}, "geometry": None, "type": "Feature", "more": [1]})
+    assert found(read_geojson(spark, write(tmp_path, text), SCHEMA, layout="lines")) == [("x", None)]

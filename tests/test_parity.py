@@ -6,6 +6,8 @@ import pytest
 
 import __spark_entry__ as contract
 from parity.compare import connect, differences
+from parity.oracle import oracle_sql
+from parity.queries import queries
 from tests.conftest import SMALL, plan_text
 
 
@@ -14,14 +16,14 @@ def con():
     return connect(SMALL)
 
 
-@pytest.mark.parametrize("name", sorted(contract.oracle_sql()))
+@pytest.mark.parametrize("name", sorted(oracle_sql()))
 def test_same_result_as_sql(spark, con, name):
     assert differences(spark, con, SMALL, name) == ""
 
 
 def test_every_sql_belongs_to_a_query():
     assert set(contract.oracle_sql()) <= set(contract.queries())
-    assert set(contract.queries()) - set(contract.oracle_sql()) == {"dataset_sizes"}
+    assert set(queries()) - set(oracle_sql()) == {"dataset_sizes"}
 
 
 def test_entry(spark):
@@ -29,8 +31,8 @@ def test_entry(spark):
     assert df.count() == 5 and df.columns[0] == "region"
 
 
-@pytest.mark.parametrize("name", sorted(contract.queries()))
+@pytest.mark.parametrize("name", sorted(queries()))
 def test_no_python_and_no_cross_join_in_any_plan(spark, name):
-    plan = plan_text(contract.queries()[name](spark, SMALL))
+    plan = plan_text(queries()[name](spark, SMALL))
     for word in ("Python", "CartesianProduct", "NestedLoopJoin"):
         assert word not in plan

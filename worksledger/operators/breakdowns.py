@@ -145,9 +145,11 @@ def year_series(df: DataFrame, selected: ProjectFilter | None = None) -> DataFra
     )
 
 
-def work_type_shares(df: DataFrame, selected: ProjectFilter | None = None) -> DataFrame:
-    """Shares among the types shown, not among all projects."""
-    shown = by_work_type(df, selected).select("type_of_work", "projects")
+def work_type_shares(
+    df: DataFrame, selected: ProjectFilter | None = None, **top: int
+) -> DataFrame:
+    """Shares among the types shown (k of them), not among all projects."""
+    shown = by_work_type(df, selected, **top).select("type_of_work", "projects")
     return share_of_total(shown, "projects", bounded=True)
 
 
@@ -163,11 +165,13 @@ def region_bars(df: DataFrame, selected: ProjectFilter | None = None) -> DataFra
 
 
 def province_bars(
-    df: DataFrame, selected: ProjectFilter | None = None, region: str | None = None
+    df: DataFrame, selected: ProjectFilter | None = None, region: str | None = None, **top: int
 ) -> DataFrame:
-    return by_province(df, selected, region).select(F.col("province").alias("label"), "projects")
+    return by_province(df, selected, region, **top).select(F.col("province").alias("label"), "projects")
 
 
-def contractor_bars(df: DataFrame, selected: ProjectFilter | None = None) -> DataFrame:
+def contractor_bars(
+    df: DataFrame, selected: ProjectFilter | None = None, **top: int
+) -> DataFrame:
     label = truncate_text("contractor", C.CONTRACTOR_LABEL_CHARS)
-    return by_contractor(df, selected).select(label.alias("label"), "projects")
+    return by_contractor(df, selected, **top).select(label.alias("label"), "projects")

@@ -90,7 +90,14 @@ def sort_order(
     is_text = isinstance(df.schema[col].dataType, T.StringType)
     key = F.collate(F.col(col), "UNICODE_CI") if is_text else F.col(col)
     first = key.asc_nulls_last() if direction == "asc" else key.desc_nulls_last()
-    return [first, *[F.col(c).asc_nulls_last() for c in tie_breakers]]
+    return [first, *[F.col(c).asc_nulls_last() for c in tie_breakers], *_whole_row(df)]
+
+
+def _whole_row(df: DataFrame) -> list[Column]:
+    """Ends an order: a hash of the row, which also deals rows of one value over all
+    tasks of a sort, then the columns themselves. Only equal rows tie."""
+    plain = [f.name for f in df.schema if not isinstance(f.dataType, T.MapType)]
+    return [F.xxhash64(*plain), *[F.col(c).asc_nulls_last() for c in plain]]
 
 
 def sort_table(
@@ -113,7 +120,12 @@ def paginate(
     size: int = C.PAGE_SIZE,
     deep_from: int = DEEP_PAGE_ROWS,
 ) -> DataFrame:
-    """Rows of one zero-based page of the ordered table."""
+    """Rows of one zero-based page of the ordered table.
+
+    The order is completed by the whole row, so that pages never repeat or leave out
+    a row, on whichever way they are found.
+    """
+    order = [*order, *_whole_row(df)]
     start = page * size
     if start + size <= deep_from:
         return top_rows(df, order, start + size).orderBy(*order).offset(start)

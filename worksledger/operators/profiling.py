@@ -39,16 +39,18 @@ def value_distribution(df: DataFrame, col: str, k: int = C.TOP_DISTRIBUTION) ->
     )
 
 
-def numeric_profile(df: DataFrame) -> DataFrame:
+def numeric_profile(
+    df: DataFrame, year: str = "InfraYear", cost: str = "ContractCost", budget: str = "ABC"
+) -> DataFrame:
     """Ranges of the raw numbers; the average skips missing costs."""
     return df.agg(
-        to_int(F.min("InfraYear")).alias("min_year"),
-        to_int(F.max("InfraYear")).alias("max_year"),
-        F.min("ContractCost").alias("min_cost"),
-        F.max("ContractCost").alias("max_cost"),
-        exact_avg("ContractCost").alias("avg_cost"),
-        F.min("ABC").alias("min_budget"),
-        F.max("ABC").alias("max_budget"),
+        to_int(F.min(year)).alias("min_year"),
+        to_int(F.max(year)).alias("max_year"),
+        F.min(cost).alias("min_cost"),
+        F.max(cost).alias("max_cost"),
+        exact_avg(cost).alias("avg_cost"),
+        F.min(budget).alias("min_budget"),
+        F.max(budget).alias("max_budget"),
     )
 
 

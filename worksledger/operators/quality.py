@@ -249,13 +249,19 @@ def min_output_size(
     return run_checks(files, [check])
 
 
+def first_line(error: Exception) -> str:
+    """An error's type, and the first line of its text if it has any."""
+    text = str(error).strip().splitlines()
+    return f"{type(error).__name__}: {text[0]}" if text else type(error).__name__
+
+
 def round_trip(spark: SparkSession, path: str, rows: int) -> DataFrame:
     """Rows read back equal rows written; an unreadable dataset fails."""
     try:
         read = spark.read.parquet(path).count()
         passed, detail = read == rows, f"read: {read}, written: {rows}"
     except Exception as error:  # any read error is the finding
-        passed, detail = False, str(error).splitlines()[0]
+        passed, detail = False, first_line(error)
     check = Check("files", "round_trip", F.lit(passed), F.lit(detail))
     return _verdicts(spark.range(1), [check])
 

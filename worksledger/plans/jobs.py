@@ -176,12 +176,12 @@ def publish(
             result = transform(landed.raw, f"{run_dir}/{C.CLEAN_FILE}", rules)
             written = export_parquet(result.summaries, run_dir)
             export_parquet(landed.profile | result.profile, f"{run_dir}/profile")
-        tables = {C.CLEAN_FILE: result.clean, **written}
-        write_manifest(manifest(tables, source), f"{run_dir}/{C.MANIFEST_FILE}")
-        checks = materialise(
-            verify(result.clean, written, run_dir, result.rows, expected), f"{run_dir}/checks"
-        ).table
-        report = quality.quality_report(checks).first()
+            tables = {C.CLEAN_FILE: result.clean, **written}
+            write_manifest(manifest(tables, source), f"{run_dir}/{C.MANIFEST_FILE}")
+            checks = materialise(
+                verify(result.clean, written, run_dir, result.rows, expected), f"{run_dir}/checks"
+            ).table
+            report = quality.quality_report(checks).first()
         passed = report["failed"] == 0
         values |= {
             "status": "SUCCESS" if passed else "FAILED",
@@ -196,7 +196,7 @@ def publish(
             _promote(spark, base, run_dir)
             values["promoted"] = True
     except Exception as error:  # a failed stage is a failed run, reported as such
-        values |= {"status": "FAILED", "error": str(error).splitlines()[0]}
+        values |= {"status": "FAILED", "error": quality.first_line(error)}
     values["duration_sec"] = round(time.time() - started, 1)
     row = [F.lit(values.get(f.name)).cast(f.dataType).alias(f.name) for f in REPORT_SCHEMA]
     return spark.range(1).select(*row)

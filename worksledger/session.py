@@ -18,6 +18,8 @@ SETTINGS = {
     # one run compiles more than the default 100 stages, and a session that answers
     # interactive questions should not compile them again each time
     "spark.sql.codegen.cache.maxEntries": "1000",
+    # a filter on a row number stays a limit on the map side for any k in use
+    "spark.sql.optimizer.windowGroupLimitThreshold": "10000000",
 }
 
 
