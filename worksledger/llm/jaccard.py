@@ -12,8 +12,9 @@ Equal sets are one class, and only classes are compared. Two sets link if
    one whose rarest n-gram is most common (the original of a family of edited copies); every
    other is compared with it alone. Links give components, by label propagation.
 3. Full round. N-grams whose sets are all in one component by now are done. Of the rest,
-   all pairs across components are candidates, unless sizes, positions or the number of
-   shared first n-grams rule them out.
+   all pairs across components are candidates that share one of the first n-grams that
+   their two sizes leave, unless the sizes, or bitmaps of their shared n-grams (which
+   bound how many they can have in common), rule them out.
 4. Product. Candidate pairs meet their texts, and the overlaps of a block of pairs are
    accumulated over blocks of columns; a pair goes as soon as what is left of its columns
    cannot reach the overlap that its sizes ask for.
@@ -42,6 +43,8 @@ LANES = 64
 #: Bits, as a power of two, of the bitmap that tells which texts a round needs.
 BITMAP = 26
 COLUMN_BLOCKS = 8
+#: Words of the bitmap of a set's shared first n-grams.
+SIGNATURE = 4
 
 _SPACE = np.zeros(256, bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
@@ -247,9 +250,8 @@ def components(links: DataFrame) -> DataFrame:
     while True:
         near = edges.join(labels.toDF("b", "comp"), "b").groupBy(F.col("a").alias("node")).agg(F.min("comp").alias("near"))
         step = labels.join(near, "node").select("node", F.col("comp").alias("old"), F.least("comp", "near").alias("comp"))
-        step = landed(step, "labels")
-        jump = step.join(step.select(F.col("node").alias("comp"), F.col("comp").alias("above")), "comp")
-        labels = landed(jump.select("node", F.least("comp", "above").alias("comp"), "old"), "labels")
+        jump = step.join(labels.toDF("comp", "above"), "comp").select("node", F.least("comp", "above").alias("comp"), "old")
+        labels = landed(jump, "labels")
         moved = labels.where(F.col("comp") != F.col("old")).limit(1).count()
         labels = labels.select("node", "comp")
         if not moved:
@@ -287,18 +289,24 @@ def join(df: DataFrame, words: int, percent: int, id_col: str = "doc_id", text_c
     links = landed(linked(named, tried, words, percent), "links")
     comps = components(links)
 
-    at = shared.drop("pivot").join(comps, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
+    bit = F.pmod(F.xxhash64("gram"), F.lit(64 * SIGNATURE))
+    lanes = [F.when(F.floor(bit / 64) == k, F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod(bit, F.lit(64)).cast("int"))) for k in range(SIGNATURE)]
+    signs = shared.groupBy("node").agg(F.count(F.lit(1)).alias("more"), *(F.coalesce(F.bit_or(x), F.lit(0)).alias(f"s{k}") for k, x in enumerate(lanes)))
+    # n-grams that fell on a bit already set
+    signs = signs.withColumn("more", F.col("more") - sum(F.bit_count(f"s{k}") for k in range(SIGNATURE)))
+    at = shared.drop("pivot").join(comps, "node", "left").withColumn("comp", F.coalesce("comp", "node")).join(signs, "node")
     at = landed(at, "labelled")
     open_ = at.groupBy("gram").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).where("low < high").select("gram")
     some = at.join(open_, "gram", "left_semi")
-    right = some.select("gram", F.col("node").alias("y"), F.col("n").alias("m"), F.col("pos").alias("at"), F.col("comp").alias("other"))
-    before = F.least("pos", "at")
-    room = before + F.least(F.col("n") - F.col("pos"), F.col("m") - F.col("at"))
+    right = some.withColumnsRenamed({"node": "y", "n": "m", "pos": "at", "comp": "other", "more": "more_y", **{f"s{k}": f"t{k}" for k in range(SIGNATURE)}})
+    need = needed(F.col("n"), F.col("m"), percent)
+    common = sum(F.bit_count(F.col(f"s{k}").bitwiseAND(F.col(f"t{k}"))) for k in range(SIGNATURE)) + F.least("more", "more_y")
     across = some.withColumnRenamed("node", "x").join(right, "gram").where(
         (F.col("x") < F.col("y")) & (F.col("comp") != F.col("other")) & _sizes_fit(F.col("n"), F.col("m"), percent)
-        & (room >= needed(F.col("n"), F.col("m"), percent))
+        & (F.col("pos") <= F.col("n") - need) & (F.col("at") <= F.col("m") - need)
+        & (common + F.greatest(F.col("n") - prefix("n"), F.col("m") - prefix("m")) >= need)
     )
-    rest = landed(fitting(across).join(tried, ["x", "y"], "left_anti"), "pairs")
+    rest = landed(across.select("x", "y").distinct().join(tried, ["x", "y"], "left_anti"), "pairs")
     more = landed(linked(named, rest, words, percent), "links")
     if more.limit(1).count():
         comps = components(links.union(more))
