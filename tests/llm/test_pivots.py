@@ -1,0 +1,59 @@
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from worksledger.llm import pivots
+
+SCHEMA = "vec_id long, embedding array<float>, id long, n int, v string, score string"
+
+
+def brute(rows, k, scale=64):
+    usable = [(i, np.floor(scale * np.array(v, np.float32).astype(float)).astype(int)) for i, v in rows if i is not None and v is not None and all(x is not None and np.isfinite(x) for x in v)]
+    out = {}
+    for q, a in usable:
+        if q % 20 == 0:
+            scores = sorted((-int(a @ b), i) for i, b in usable if i != q)
+            out[q] = [(i, -s) for s, i in scores[:k]]
+    return out
+
+
+def found(spark, rows, k):
+    df = spark.createDataFrame([(i, v, 1, 2, "x", "y") for i, v in rows], SCHEMA).repartition(4)
+    out = {}
+    for r in sorted(pivots.top_k(df, F.col("id") % 20 == 0, k).collect(), key=lambda r: (r["query_id"], r["rank"])):
+        out.setdefault(r["query_id"], []).append((r["vec_id"], r["score"]))
+    return out
+
+
+@pytest.mark.parametrize("block, query_block, slice_", [(4096, 512, 256), (50, 3, 7)])
+def test_as_brute_force(spark, monkeypatch, block, query_block, slice_):
+    monkeypatch.setattr(pivots, "BLOCK", block)
+    monkeypatch.setattr(pivots, "QUERY_BLOCK", query_block)
+    monkeypatch.setattr(pivots, "SLICE", slice_)
+    r = np.random.default_rng(1)
+    centres = r.normal(size=(5, 8))
+    rows = [(k, [float(x) for x in centres[k % 5] + 0.1 * r.normal(size=8)]) for k in range(300)]
+    rows += [(k, rows[0][1]) for k in range(300, 340)]  # ties
+    rows += [(400, None), (420, [None] * 8), (440, [float("nan")] * 8), (460, [float("inf")] + [0.0] * 7), (None, [0.5] * 8), (480, [0.0] * 8), (500, [])]
+    usable = [(i, v) for i, v in rows if v]
+    assert found(spark, rows, 7) == brute(usable, 7)
+
+
+def test_few_rows_and_none(spark):
+    assert found(spark, [(0, [1.0, 2.0]), (1, [0.5, -1.0])], 20) == {0: [(1, 64 * 32 - 128 * 64)]}
+    assert found(spark, [(0, [1.0])], 20) == {}
+    assert found(spark, [], 20) == {}
+
+
+def test_bounds_leave_candidates_out():
+    r = np.random.default_rng(0)
+    x = np.concatenate([r.normal(size=(2000, 16)) * 5 + 100 * c for c in r.normal(size=(10, 16))]).round()
+    ids = np.arange(len(x))
+    chosen = pivots.farthest_first(x[::7], 48)
+    table = pivots.distances(x, chosen)
+    norms = (x**2).sum(axis=1)
+    best = int(norms.argmax())
+    (_, near, scores, seen), = pivots.search(x[best : best + 1], ids[best : best + 1], x, ids, table, chosen, 5)
+    order = np.lexsort((ids, -(x @ x[best])))
+    assert near.tolist() == [i for i in order if i != best][:5]
+    assert seen < len(x) / 2

@@ -9,14 +9,15 @@ from __future__ import annotations
 
 import os
 import re
-from collections.abc import Callable, Iterable
+from collections.abc import Callable
+from itertools import chain
 
 import numpy as np
 
 from worksledger.llm.common import ragged
 
-#: Pieces that one worker remembers.
-LIMIT = 1_000_000
+#: Pieces that one worker remembers, about.
+LIMIT = 1_200_000
 
 #: White space beyond ASCII (and the ASCII separators that only some libraries count as such).
 RARE_SPACE = re.compile(r"[\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
@@ -41,6 +42,18 @@ def words(text: str) -> list[str]:
     return _WORDS.findall(text)
 
 
+class _Places(dict):
+    """Numbers pieces in the order in which they are first asked for."""
+
+    def __init__(self):
+        self.new: list[str] = []
+
+    def __missing__(self, piece: str) -> int:
+        self[piece] = place = len(self)
+        self.new.append(piece)
+        return place
+
+
 class Lexicon:
     """ids of pieces by table; encode(list of pieces) gives all ids and their number per piece."""
 
@@ -49,28 +62,25 @@ class Lexicon:
         self.clear()
 
     def clear(self) -> None:
-        self.place: dict[str, int] = {}
+        self.places = _Places()
         self.ids, self.starts, self.counts = np.zeros(0, np.int32), np.zeros(0, np.int64), np.zeros(0, np.int64)
 
-    def learn(self, found: Iterable[str]) -> None:
-        new = [x for x in found if x not in self.place]
-        if not new:
-            return
-        ids, counts = self.encode_pieces(new)
-        self.place.update(zip(new, range(len(self.place), len(self.place) + len(new))))
-        self.starts = np.concatenate([self.starts, len(self.ids) + np.cumsum(counts) - counts])
-        self.counts = np.concatenate([self.counts, counts])
-        self.ids = np.concatenate([self.ids, ids.astype(np.int32)])
+    def _learn(self) -> None:
+        if self.places.new:
+            ids, counts = self.encode_pieces(self.places.new)
+            self.starts = np.concatenate([self.starts, len(self.ids) + np.cumsum(counts) - counts])
+            self.counts = np.concatenate([self.counts, counts])
+            self.ids = np.concatenate([self.ids, ids.astype(np.int32)])
+            self.places.new = []
 
     def encode(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
         """(all ids, number of ids per text); a null text has none."""
-        split = [self.split(t) if t else [] for t in texts]
-        flat = [x for pieces in split for x in pieces]
-        distinct = set(flat)
-        if len(self.place) + len(distinct) > LIMIT:
+        if len(self.places) > LIMIT:
             self.clear()
-        self.learn(distinct)
-        at = np.fromiter(map(self.place.__getitem__, flat), np.int64, len(flat))
+        split = [self.split(t) if t else [] for t in texts]
+        total = sum(map(len, split))
+        at = np.fromiter(map(self.places.__getitem__, chain.from_iterable(split)), np.int64, total)
+        self._learn()
         counts = self.counts[at]
         ids = self.ids[np.repeat(self.starts[at], counts) + ragged(counts)]
         ends = np.concatenate([[0], np.cumsum(counts)])
