@@ -63,7 +63,9 @@ def nnls(columns: np.ndarray, target: np.ndarray, most: int = 400) -> np.ndarray
         active = np.append(active, new)
         while True:
             a = dense(active)
-            z = np.linalg.lstsq(a, target, rcond=None)[0]
+            gram = a.T @ a
+            gram.flat[:: len(active) + 1] += 1e-10
+            z = np.linalg.solve(gram, a.T @ target)
             if (z > 1e-9).all():
                 break
             now, down = x[active], z <= 1e-9
