@@ -109,9 +109,11 @@ def plan(histogram: np.ndarray, size: int, grain: int = GRAIN, depth: int = DEPT
     """Groups of equal sequences for a histogram (pieces by length, index 0 unused)."""
     left = histogram.astype(np.int64).copy()
     step = -(-size // grain)
-    coarse = np.zeros(grain + 1)
+    grain = size // step  # so that a full pattern fits
+    coarse = np.zeros(grain + 2)
     for length in np.flatnonzero(left):
         coarse[-(-length // step)] += left[length]
+    coarse = coarse[: grain + 1]
     open_: dict[int, list[list]] = defaultdict(list)  # by room left: [lengths, sequences]
     columns = patterns(grain, depth, coarse > 0)
     repeats = np.floor(nnls(columns, coarse) + 0.5).astype(np.int64) if len(columns) else np.zeros(0, np.int64)
