@@ -51,6 +51,7 @@ HEADLINE = [
     "quality_checks_core",
     "export_csv_roundtrip",
     "read_geojson",
+    "read_geojson_splits",
     "publish_report",
 ]
 
