@@ -4,8 +4,8 @@
    below LEAST_SCORE).
 2. near_duplicates: of each group of documents linked by shared n-grams, the one with the
    smallest id stays; documents without an id, or without words, stay.
-3. repeated_passages: byte strings of PASSAGE bytes that start more than once go, all
-   copies of them; a document of which nothing but blanks is left goes too.
+3. repeated_passages: passages of PASSAGE words that start more than once go, all copies
+   of them; a document of which nothing but blanks is left goes too.
 4. secrets: found secrets are replaced by a mark.
 5. packing: what is left, packed into sequences of tokens.
 
@@ -26,7 +26,7 @@ from worksledger.llm.common import landed, table
 LEAST_SCORE = 0.4
 SHINGLE_WORDS = 5
 SIMILAR_PERCENT = 80
-PASSAGE = 400
+PASSAGE = 51  # words
 SEQUENCE = 2048
 
 
@@ -48,7 +48,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    cut = suffixes.dedup(docs, PASSAGE, keep_columns=True)
+    cut = suffixes.dedup(docs, PASSAGE, keep_columns=True, words=True)
     cut = cut.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
     return cut.where(F.coalesce(F.regexp_like("text", F.lit(r"\S")), F.lit(False))).select(*docs.columns)
 

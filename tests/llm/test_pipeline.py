@@ -3,6 +3,7 @@ from parity.compare import connect, spark_rows, sql_rows, types
 from tests.conftest import SMALL
 from tests.llm import cases
 from tests.llm.test_jaccard import grams
+from tests.llm.test_suffixes import brute_words, planted
 from worksledger.llm import queries, secrets
 from worksledger.llm.common import landed
 
@@ -60,3 +61,11 @@ def test_queries_match_their_sql(spark):
         df = queries.queries()[name](spark, SMALL)
         assert dict(df.dtypes) == types(con, sql), name
         assert spark_rows(df) == sql_rows(con, sql), name
+
+
+def test_repeated_passages_by_brute_force(spark):
+    texts = planted()
+    docs = cases.frame(spark, texts)
+    got = cases.by_id(pipeline.repeated_passages(spark, docs, ""), "text", "n_chars")
+    want = brute_words(texts, 51)
+    assert got == {k: (t, len(t)) for k, t in enumerate(want) if t.strip()}

@@ -1,5 +1,6 @@
 import hashlib
 import random
+import re
 from collections import Counter
 
 import numpy as np
@@ -85,3 +86,52 @@ def test_common_prefixes(strings):
     for k in range(1, len(ranked)):
         a, b = ranked[k - 1], ranked[k]
         assert common[k] == next((j for j in range(min(len(a), len(b))) if a[j] != b[j]), min(len(a), len(b)))
+
+
+def brute_words(texts, words):
+    """What is left of each text, by runs of non-blanks."""
+    found = [[m.span() for m in re.finditer(r"[^ \t\n\v\f\r]+", t or "")] for t in texts]
+    names = [[t[a:b] for a, b in spans] for t, spans in zip(texts, found)]
+    seen = Counter(tuple(w[k : k + words]) for w in names for k in range(len(w) - words + 1))
+    out = []
+    for t, spans, w in zip(texts, found, names):
+        lost = {j for k in range(len(w) - words + 1) if seen[tuple(w[k : k + words])] > 1 for j in range(k, k + words)}
+        gone = [False] * len(t or "")
+        for j in lost:  # with the blanks up to the next word, if that goes too
+            a, b = spans[j][0], spans[j + 1][0] if j + 1 in lost else spans[j][1]
+            gone[a:b] = [True] * (b - a)
+        out.append("".join(c for c, g in zip(t, gone) if not g) if t is not None else None)
+    return out
+
+
+def planted():
+    """Passages of 48 to 60 short and longer words, each in two texts of unlike words, once with other blanks."""
+    texts = []
+    for n in range(48, 61):
+        for lexicon in ("a bc d ef ghi j kl m no é", "passage contains several rather lengthy expressions repeated éèê"):
+            r = random.Random(f"{n}{lexicon}")
+            passage = [r.choice(lexicon.split(" ")) + str(r.randrange(30)) for _ in range(n)]
+            for blank in (" ", "\n  "):
+                own = [f"{r.randrange(10**6)}w" for _ in range(r.randrange(20, 90))]
+                at = r.randrange(len(own))
+                texts.append(" ".join(own[:at]) + " " + blank.join(passage) + " " + " ".join(own[at:]))
+    return texts
+
+
+@pytest.mark.parametrize("hot", [512, 2])
+def test_words_as_brute_force(spark, monkeypatch, hot):
+    monkeypatch.setattr(suffixes, "HOT", hot)
+    texts = planted() + [t for _, t in corpus() if not any("぀" <= c <= "鿿" for c in t)] + [None, "", " \n ", "w " * 50, "v " * 51, "u " * 52, "z" * 5000]
+    got = cases.by_id(suffixes.dedup(cases.frame(spark, texts), 51, keep_columns=True, words=True), "text")
+    want = brute_words(texts, 51)
+    assert [got[k][0] for k in range(len(texts))] == want
+    assert [len(a) < len(t) for a, t in zip(want, planted())] == [n > 50 for n in range(48, 61) for _ in range(4)]
+
+
+def test_characters_without_blanks_are_words(spark):
+    r = random.Random(3)
+    letters = [chr(c) for lo, hi in ((0x4E00, 0x9F00), (0x3042, 0x3090), (0x0E01, 0x0E2E), (0x20000, 0x20100)) for c in r.sample(range(lo, hi), 40)]
+    passage, short = ("".join(r.choice(letters) for _ in range(n)) for n in (51, 50))
+    texts = ["one " + passage + "two", "three" + passage, "four " + short + "five", "six" + short]
+    got = cases.by_id(suffixes.dedup(cases.frame(spark, texts), 51, keep_columns=True, words=True), "text")
+    assert [got[k][0] for k in range(4)] == ["one two", "three", *texts[2:]]

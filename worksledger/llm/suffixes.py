@@ -20,6 +20,12 @@ window of that length is decided, but not every suffix is sorted:
    are cut into smaller chunks, whose cores are longer and rarer, and go through 2 again;
    at chunks of one window, counting decides.
 
+With `words`, the length counts words and a span is of whole words: each word becomes an
+8-byte hash, the method runs over these bytes, and of the repeated windows those that begin
+at a word count. Words are runs of other bytes than ASCII blanks; a character of a script
+written without blanks (WITHOUT_BLANKS) is a word of its own. Letter case counts, the blanks
+between words do not; those between two words that go, go too.
+
 A null text is empty. Repeated rows are documents like others: they repeat each other.
 Rows are told apart by id and a hash of the text, so an id may be null or occur twice. An
 empty table gives an empty result, texts shorter than `length` stay whole.
@@ -28,7 +34,7 @@ empty table gives an empty result, texts shorter than `length` stay whole.
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -47,6 +53,11 @@ BITMAP = 26
 PIECE = 1 << 20
 
 _SALTS = mix64(np.arange(1, 257, dtype=U64)) | U64(1)
+#: Code points of Thai and Lao, Myanmar, Khmer, kana and Han.
+WITHOUT_BLANKS = ((0x0E00, 0x0EFF), (0x1000, 0x109F), (0x1780, 0x17FF), (0x3041, 0x30FF), (0x3400, 0x9FFF), (0xF900, 0xFAFF), (0x20000, 0x3FFFF))
+#: Bytes of the hash of a word.
+WORD = 8
+Read = Callable[[pa.Array], tuple[np.ndarray, np.ndarray]]
 RECORD = "fp long, cfp long, id long, b long, p long, low int, high int, chunk int"
 
 
@@ -63,6 +74,49 @@ def _words(data: np.ndarray) -> np.ndarray:
     return out[:n]
 
 
+_BLANK = np.isin(np.arange(256), [9, 10, 11, 12, 13, 32])
+
+
+def word_bounds(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Where each word begins and ends, and the number of the first word of each text (one more at the end)."""
+    inside = ~_BLANK[data]
+    first = inside.copy()
+    first[1:] &= ~inside[:-1]
+    at = offsets[:-1][np.diff(offsets) > 0]
+    first[at] = inside[at]
+    wide = np.flatnonzero(data >= 0xE0)  # characters of three or four bytes
+    if len(wide):
+        a, b, c, d = (np.append(data, [0, 0, 0]).astype(np.int64)[wide + k] for k in range(4))
+        four = a >= 0xF0
+        point = (a & 15) << 12 | (b & 63) << 6 | c & 63
+        point[four] = ((a & 7) << 18 | (b & 63) << 12 | (c & 63) << 6 | d & 63)[four]
+        alone = np.any([(low <= point) & (point <= high) for low, high in WITHOUT_BLANKS], axis=0)
+        after = (wide + np.where(four, 4, 3))[alone]
+        after = after[after < len(data)]
+        first[wide[alone]] = True
+        first[after] = inside[after]
+    start, place = np.flatnonzero(first), np.flatnonzero(inside)
+    rank = np.searchsorted(place, start)
+    return start, start + np.diff(np.append(rank, len(place))), np.searchsorted(start, offsets)
+
+
+def joined_words(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Like joined_bytes, of the hashes of the words."""
+    data, offsets = joined_bytes(texts)
+    start, stop, edges = word_bounds(data, offsets)
+    words, length = _words(data), stop - start
+    out = mix64(length.astype(U64) * GOLDEN)
+    live = np.arange(len(start))
+    j = 0
+    while len(live):
+        left = np.minimum(length[live] - j, 8).astype(U64)
+        x = words[start[live] + j] & (U64(0xFFFFFFFFFFFFFFFF) >> (U64(64) - U64(8) * left))
+        out[live] = mix64((out[live] ^ x) * _SALTS[0])
+        j += 8
+        live = live[length[live] > j]
+    return out.astype("<u8").view(np.uint8), edges.astype(np.int64) * WORD
+
+
 def _span_hash(words: np.ndarray, start: np.ndarray, length: np.ndarray) -> np.ndarray:
     """Hashes of the bytes from start on; spans have 8 bytes or more."""
     out = length.astype(U64) * GOLDEN
@@ -117,11 +171,11 @@ def _hashes(words: np.ndarray, anchor: np.ndarray, low: np.ndarray, high: np.nda
     return pa.array(core.view(np.int64)), pa.array(content.view(np.int64))
 
 
-def records(docs: DataFrame, length: int) -> DataFrame:
+def records(docs: DataFrame, length: int, read: Read = joined_bytes) -> DataFrame:
     """The records of all texts (id, b, text), at the widest chunks."""
 
     def work(batch: pa.RecordBatch) -> pa.RecordBatch | None:
-        data, offsets = joined_bytes(batch.column(2))
+        data, offsets = read(batch.column(2))
         words = _words(data)
         anchor, first, last = anchors(data, words, offsets, length)
         if not len(anchor):
@@ -157,9 +211,9 @@ def _with_texts(docs: DataFrame, chosen: DataFrame) -> DataFrame:
     return texts.join(lists, ["id", "b"])
 
 
-def _listed(batch: pa.RecordBatch) -> tuple[np.ndarray, ...]:
+def _listed(batch: pa.RecordBatch, read: Read) -> tuple[np.ndarray, ...]:
     """Bytes, offsets, row and fields of the records of a batch of _with_texts."""
-    data, offsets = joined_bytes(batch.column(2))
+    data, offsets = read(batch.column(2))
     lists = batch.column(3)
     bounds = lists.offsets.to_numpy()
     values = lists.values.slice(bounds[0], bounds[-1] - bounds[0])
@@ -168,11 +222,11 @@ def _listed(batch: pa.RecordBatch) -> tuple[np.ndarray, ...]:
     return data, offsets, row, *fields
 
 
-def finer(texts: DataFrame, before: int, chunk: int, length: int) -> DataFrame:
+def finer(texts: DataFrame, before: int, chunk: int, length: int, read: Read = joined_bytes) -> DataFrame:
     """The listed records, cut into smaller chunks."""
 
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:
-        data, offsets, row, p, low, high, _, _, _ = _listed(batch)
+        data, offsets, row, p, low, high, _, _, _ = _listed(batch, read)
         words, anchor = _words(data), p + offsets[row]
         run, low, high, number = chunked(anchor, low.astype(np.int64), high.astype(np.int64), chunk)
         take = pa.array(row[run])
@@ -195,11 +249,11 @@ def finer(texts: DataFrame, before: int, chunk: int, length: int) -> DataFrame:
 SUFFIX = "lead binary, fp long, chunk int, low int, high int, k long, id long, b long, p long, bytes binary"
 
 
-def suffixes(texts: DataFrame, chunk: int, length: int) -> DataFrame:
+def suffixes(texts: DataFrame, chunk: int, length: int, read: Read = joined_bytes) -> DataFrame:
     """The listed records with their bytes, and the first bytes of their cores."""
 
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:
-        data, offsets, row, p, low, high, number, fp, k = _listed(batch)
+        data, offsets, row, p, low, high, number, fp, k = _listed(batch, read)
         anchor, raw = p + offsets[row], data.tobytes()
         core = anchor - number * chunk
         lead = [raw[a : a + 16] for a in core]
@@ -345,11 +399,11 @@ def near(docs: DataFrame, keys: DataFrame, keep: bool) -> DataFrame:
     return docs.withColumn("spot", bit).mapInArrow(run, schema)
 
 
-def repeated_spans(docs: DataFrame, length: int) -> DataFrame:
-    """Spans (id, b, start, stop) whose union is what goes, of docs with id, b and text."""
+def repeated_spans(docs: DataFrame, length: int, read: Read = joined_bytes) -> DataFrame:
+    """Spans (id, b, start, stop) whose union is what goes, of docs with id, b and text, in the bytes that read gives."""
     spark = docs.sparkSession
     least = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    key, parts, rows = ["fp", "cfp"], [], records(docs, length)
+    key, parts, rows = ["fp", "cfp"], [], records(docs, length, read)
     for level, chunk in enumerate(CHUNKS):
         rows = landed(rows, "records")
         contents = rows.groupBy(*key).agg(F.count(F.lit(1)).alias("k"))
@@ -372,26 +426,32 @@ def repeated_spans(docs: DataFrame, length: int) -> DataFrame:
         if n:
             buckets = max(least, -(-n // BUCKET))
             texts = _with_texts(docs, cold)
-            parts.append(landed(bucket_spans(suffixes(texts, chunk, length), buckets, chunk, length), "spans"))
+            parts.append(landed(bucket_spans(suffixes(texts, chunk, length, read), buckets, chunk, length), "spans"))
         hot = one.where(F.col("contents") > HOT)
         if not hot.limit(1).count():
             break
-        rows = finer(_with_texts(docs, hot), chunk, CHUNKS[level + 1], length)
+        rows = finer(_with_texts(docs, hot), chunk, CHUNKS[level + 1], length, read)
     out = parts[0]
     for part in parts[1:]:
         out = out.union(part)
     return out
 
 
-def dedup(df: DataFrame, length: int, id_col: str = "doc_id", text_col: str = "text", digests: bool = False, keep_columns: bool = False) -> DataFrame:
+def dedup(df: DataFrame, length: int, id_col: str = "doc_id", text_col: str = "text", digests: bool = False, keep_columns: bool = False, words: bool = False) -> DataFrame:
     """id, n_bytes, `removed` (spans of bytes, in order and apart) and `kept` (what is left).
 
     digests: n_removed, n_spans and kept_sha256 in place of the last two. keep_columns: df
-    with its text cut instead (characters cut in two go) and rows left as they are.
+    with its text cut instead (characters cut in two go) and rows left as they are. words: length counts words, see above.
     """
     whole = df.withColumn("__id", F.coalesce(F.col(id_col).cast("long"), F.lit(-1))).withColumn("__b", F.xxhash64(text_col))
     docs = whole.select(F.col("__id").alias("id"), F.col("__b").alias("b"), F.col(text_col).alias("text"))
-    spans = repeated_spans(docs, length).groupBy("id", "b").agg(F.array_sort(F.collect_set(F.struct("start", "stop"))).alias("spans"))
+    if words:  # all windows of a span are repeated; it is cut to those that begin at a word
+        raw = repeated_spans(docs, length * WORD, joined_words)
+        begin, last = F.ceil(F.col("start") / WORD), F.floor((F.col("stop") - length * WORD) / WORD)
+        spans = raw.where(begin <= last).select("id", "b", begin.alias("start"), (last + length).alias("stop"))
+    else:
+        spans = repeated_spans(docs, length)
+    spans = spans.groupBy("id", "b").agg(F.array_sort(F.collect_set(F.struct("start", "stop"))).alias("spans"))
     spans = landed(spans, "removed")
     columns = df.columns if keep_columns else [id_col, text_col]
     every = whole.select(F.col("__id").alias("id"), F.col("__b").alias("b"), F.struct(*columns).alias("row"))
@@ -407,6 +467,9 @@ def dedup(df: DataFrame, length: int, id_col: str = "doc_id", text_col: str = "t
                 runs[-1][1] = max(runs[-1][1], s["stop"])
             else:
                 runs.append([s["start"], s["stop"]])
+        if words and runs:
+            begins, ends, _ = word_bounds(np.frombuffer(raw, np.uint8), np.array([0, len(raw)]))
+            runs = [[int(begins[a]), int(ends[b - 1])] for a, b in runs]
         out, end = [], 0
         for start, stop in runs:
             out.append(raw[end:start])
