@@ -1,3 +1,5 @@
+import math
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -57,3 +59,36 @@ def test_bounds_leave_candidates_out():
     order = np.lexsort((ids, -(x @ x[best])))
     assert near.tolist() == [i for i in order if i != best][:5]
     assert seen < len(x) / 2
+
+
+def brute_rows(rows, k, scale=64):
+    """Sorted lists of the (id, score) of each query row, by query id; rows are told apart by their place."""
+    usable = [(i, [math.floor(scale * float(np.float32(x))) for x in v]) for i, v in rows if i is not None and v is not None and all(x is not None and np.isfinite(np.float32(x)) for x in v)]
+    out = {}
+    for p, (q, a) in enumerate(usable):
+        if q % 20 == 0:
+            scores = sorted((-sum(x * y for x, y in zip(a, b)), i) for n, (i, b) in enumerate(usable) if n != p and len(b) == len(a))
+            if scores:
+                out.setdefault(q, []).append([(i, -s) for s, i in scores[:k]])
+    return out
+
+
+def check_rows(spark, rows, k):
+    """All rows of an id together: each rank occurs once for each of the id's rows."""
+    df = spark.createDataFrame([(i, v, 1, 2, "x", "y") for i, v in rows], SCHEMA).repartition(4)
+    got = sorted((r["query_id"], r["rank"], r["vec_id"], int(r["score"])) for r in pivots.top_k(df, F.col("id") % 20 == 0, k, text_scores=True).collect())
+    assert got == sorted((q, n + 1, i, s) for q, lists in brute_rows(rows, k).items() for one in lists for n, (i, s) in enumerate(one))
+
+
+@pytest.mark.parametrize("first", [[], [0.5], [1e9, 1.0, 2.0]])
+def test_lengths_and_large_components(spark, first):
+    r = np.random.default_rng(2)
+    rows = [(0, first)] + [(k, [float(x) for x in r.normal(size=(8, 3, 0)[k % 3 if k < 90 else 0]) * 3]) for k in range(1, 150)]
+    rows += [(200 + 20 * k, [float(x) for x in r.normal(size=8) * 10.0**e]) for k, e in enumerate((5, 6, 9, 12, 18, 37))]
+    rows += [(400, [524_288.0] + [0.0] * 7), (420, [-3e38] * 8), (441, [-3e38] * 8), (460, [float("inf")] * 8), (480, None), (500, [1.0] * 9)]
+    check_rows(spark, rows, 7)
+
+
+def test_scores_of_64_bits_stay_numbers(spark):
+    rows = [(0, [1e9]), (1, [2e9]), (2, [-3e38]), (3, [3e38]), (4, [1.0])]
+    assert found(spark, rows, 9) == {0: [(3, None), (1, None), (4, 64 * 64 * 10**9), (2, None)]}

@@ -12,19 +12,28 @@ Query blocks meet every candidate block, which is what an exact search over a st
 set has to do; each pair of blocks sends on k rows per query at most, and these are merged
 by a window over the query. Vectors are whole numbers here, so scores are exact.
 
-Vectors that are null, or have components of RANGE and more times 1 / scale (whose scores
-could leave 64 bits), or hold a null or non-finite component, or have another length than
-the first one by id, take no part, neither as query nor as candidate; nor do rows without an id. Rows that
-repeat an id are candidates of their own; an own row is left out by its id. Ties go to
-the smaller id. Empty tables give empty results.
+Each length is searched among its own rows, so that no vector changes the result of those
+of another length; empty vectors score 0 with each other. Vectors that are null, or hold a
+null or non-finite component, take no part, neither as query nor as candidate; nor do rows
+without an id. Vectors with a component too large for scores of 64 bits (`wide`) are left
+out of pivots and bounds and scored in whole numbers of any size, with every other.
+
+Each query row is ranked by itself against all other rows: only the row itself is left out.
+Rows that repeat an id are candidates of their own, of each other too; a query id that
+occurs n times has n results under that id. Ties go to the smaller id. Empty tables give
+empty results.
 """
 
 from __future__ import annotations
 
+import heapq
+import json
+import math
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -38,35 +47,57 @@ QUERY_BLOCK = 512
 SLICE = 256
 #: Candidate blocks of one query block are dealt over so many keys.
 SALTS = 64
+#: Components from here on make a vector wide, or fewer where a sum of products could leave 62 bits.
 RANGE = 1 << 25
 
 
 def quantised(df: DataFrame, scale: int, id_col: str, vector_col: str) -> DataFrame:
-    """id and `v`: floor(scale * component) as whole numbers, of usable vectors only."""
+    """id, `row` (a number of its own), `v`, and whether a floor(scale * component) is `wide`, of usable vectors only."""
     usable = F.col(id_col).isNotNull() & F.col(vector_col).isNotNull() & F.forall(
-        vector_col, lambda x: F.coalesce(~F.isnan(x) & (F.abs(x.cast("double")) < F.lit(RANGE / scale)), F.lit(False))
-    )
-    return df.where(usable).select(
-        F.col(id_col).cast("long").alias("id"),
-        F.transform(vector_col, lambda x: F.floor(F.lit(float(scale)) * x.cast("double")).cast("int")).alias("v"),
+        vector_col, lambda x: F.coalesce(~F.isnan(x) & (F.abs(x.cast("double")) != F.lit(float("inf"))), F.lit(False))
     )
+    least = F.least(F.lit(float(RANGE)), F.sqrt(F.lit(2.0**62) / F.greatest(F.size(vector_col), F.lit(1))))
+    wide = F.exists(vector_col, lambda x: F.abs(F.lit(float(scale)) * x.cast("double")) >= least - 1)
+    kind = df.schema[vector_col].dataType
+    v = F.col(vector_col) if kind.simpleString() == "array<float>" else F.col(vector_col).cast("array<double>")
+    return df.where(usable).select(F.col(id_col).cast("long").alias("id"), F.monotonically_increasing_id().alias("row"), wide.alias("wide"), v.alias("v"))
+
+
+def whole_numbers(parts: np.ndarray, scale: int) -> np.ndarray:
+    """floor(scale * part) as Python's integers."""
+    out = np.empty(parts.shape, object)
+    for at, x in np.ndenumerate(parts):
+        y = scale * float(x)
+        out[at] = math.floor(y) if math.isfinite(y) else scale * int(x)
+    return out
 
 
-def _blocks(df: DataFrame, size: int, dim: int) -> DataFrame:
-    """Packed blocks of up to `size` vectors: n, ids, and the numbers row by row."""
+def _blocks(df: DataFrame, size: int, scale: int) -> DataFrame:
+    """Packed blocks of up to `size` vectors of one length: n, dim, wide, ids, rows, and the numbers row by row.
+
+    The numbers are quantised, those of wide vectors are not yet.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for k in range(0, batch.num_rows, size):
-                part = batch.slice(k, size)
-                ids = part.column(0).to_numpy()
-                numbers = part.column(1).flatten().to_numpy()
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([len(ids)], pa.int32()), pa.array([ids.astype("<i8").tobytes()]), pa.array([numbers.astype("<i4").tobytes()])],
-                    ["n", "ids", "numbers"],
-                )
+            dims = pc.list_value_length(batch.column(3)).to_numpy().astype(np.int64)
+            kind = dims * 2 + batch.column(2).to_numpy(zero_copy_only=False)
+            for one in np.unique(kind):
+                of = np.flatnonzero(kind == one)
+                for k in range(0, len(of), size):
+                    part = batch.take(pa.array(of[k : k + size]))
+                    numbers = part.column(3).flatten().to_numpy().astype("<f8")
+                    if one % 2 == 0:
+                        numbers = np.floor(scale * numbers).astype("<i4")
+                    yield pa.RecordBatch.from_arrays(
+                        [
+                            pa.array([part.num_rows], pa.int32()), pa.array([one // 2], pa.int32()), pa.array([bool(one % 2)]),
+                            *(pa.array([part.column(c).to_numpy().astype("<i8").tobytes()]) for c in (0, 1)), pa.array([numbers.tobytes()]),
+                        ],
+                        ["n", "dim", "wide", "ids", "rows", "numbers"],
+                    )
 
-    return df.where(F.size("v") == dim).mapInArrow(run, "n int, ids binary, numbers binary")
+    return df.select("id", "row", "wide", "v").mapInArrow(run, "n int, dim int, wide boolean, ids binary, rows binary, numbers binary")
 
 
 def farthest_first(sample: np.ndarray, count: int) -> np.ndarray:
@@ -90,9 +121,15 @@ def distances(x: np.ndarray, pivots: np.ndarray) -> np.ndarray:
 
 
 def search(
-    queries: np.ndarray, query_ids: np.ndarray, x: np.ndarray, ids: np.ndarray, to_pivots: np.ndarray, pivots: np.ndarray, k: int
+    queries: np.ndarray, query_ids: np.ndarray, x: np.ndarray, ids: np.ndarray, to_pivots: np.ndarray, pivots: np.ndarray, k: int,
+    query_rows: np.ndarray | None = None, rows: np.ndarray | None = None,
 ) -> Iterator[tuple[int, np.ndarray, np.ndarray, int]]:
-    """For each query: its id, the ids and scores of its best k in this block, and how many were evaluated."""
+    """For each query: its id, the ids and scores of its best k in this block, and how many were evaluated.
+
+    The query's own row is told by the numbers of the rows, or by the ids if there are none.
+    """
+    if rows is None:
+        query_rows, rows = query_ids, ids
     exact = x.astype(np.int64)
     norms, mine = (x**2).sum(axis=1), distances(queries, pivots)
     query_norms, whole = (queries**2).sum(axis=1), queries.astype(np.int64)
@@ -101,7 +138,7 @@ def search(
         # rounding of the distances must not cut a candidate off
         slack = 1e-6 * (norms + query_norms[j] + 1.0)
         upper = (query_norms[j] + norms - lower**2) / 2 + slack
-        upper[ids == query_ids[j]] = -np.inf
+        upper[rows == query_rows[j]] = -np.inf
         order = np.argsort(-upper, kind="stable")
         best_ids, best = np.zeros(0, np.int64), np.zeros(0, np.int64)
         seen = 0
@@ -118,52 +155,89 @@ def search(
         yield int(query_ids[j]), best_ids, best, min(seen, len(order))
 
 
+def search_wide(
+    queries: np.ndarray, query_rows: np.ndarray, x: np.ndarray, ids: np.ndarray, rows: np.ndarray, k: int
+) -> Iterator[tuple[list[int], list[int]]]:
+    """For each query: ids and scores of its best k in this block, in Python's integers."""
+    for q, own in zip(queries, query_rows):
+        scores = x @ q if len(q) else [0] * len(ids)
+        best = heapq.nsmallest(k, ((-s, int(i)) for s, i, r in zip(scores, ids, rows) if r != own))
+        yield [i for _, i in best], [-s for s, _ in best]
+
+
+def _ordered(score: int) -> tuple[int | None, int, str | None]:
+    """The score if it has 64 bits; else a number and a string, both ordered as the scores are, 0 and null for the others."""
+    if -(1 << 63) <= score < 1 << 63:
+        return score, 0, None
+    digits = str(abs(score))
+    if score > 0:
+        return None, len(digits), digits
+    return None, -len(digits), digits.translate(str.maketrans("0123456789", "9876543210"))
+
+
 def top_k(
-    df: DataFrame, is_query: Column, k: int, scale: int = 64, id_col: str = "vec_id", vector_col: str = "embedding"
+    df: DataFrame, is_query: Column, k: int, scale: int = 64, id_col: str = "vec_id", vector_col: str = "embedding", text_scores: bool = False
 ) -> DataFrame:
     """query_id, rank (from 1), id of the candidate, score, for the rows where is_query holds.
 
-    Candidates are all usable rows but those with the query's own id.
+    A score beyond 64 bits is null, its rank is right; text_scores: all scores in full, as text.
     """
     vectors = landed(quantised(df, scale, id_col, vector_col), "vectors")
-    first = vectors.select("id", F.size("v").alias("dim")).orderBy("id", "dim").take(1)
-    if not first or not first[0].dim:
-        return df.sparkSession.createDataFrame([], f"query_id long, rank int, `{id_col}` long, score long")
-    dim = first[0].dim
-    sample = vectors.where(F.size("v") == dim).orderBy(F.xxhash64("id"), "id").limit(SAMPLE).toPandas()
-    pivots = farthest_first(np.array(sample["v"].tolist(), np.float64).reshape(-1, dim), PIVOTS)
-    candidates = _blocks(vectors, BLOCK, dim)
+    # of wide vectors, none is a pivot
+    sample = vectors.where(~F.col("wide")).select("id", "v").orderBy(F.xxhash64("id"), "id").limit(SAMPLE).toPandas()
+    by_dim: dict[int, list] = {}
+    for v in sample["v"]:
+        by_dim.setdefault(len(v), []).append(v)
+    pivots = {dim: farthest_first(np.floor(scale * np.array([*vs], np.float64)).reshape(len(vs), dim), PIVOTS) for dim, vs in by_dim.items()}
+    candidates = _blocks(vectors, BLOCK, scale)
     asked = vectors.where(is_query)
-    query_blocks = landed(_blocks(asked, QUERY_BLOCK, dim).withColumn("block", F.monotonically_increasing_id()), "queries")
-    # a number for each query block; every candidate block is sent to every query block
-    numbers = [r.block for r in query_blocks.select("block").orderBy("block").collect()]
+    query_blocks = landed(_blocks(asked, QUERY_BLOCK, scale).withColumn("block", F.monotonically_increasing_id()), "queries")
+    # a number for each query block; every candidate block is sent to every query block of its length
+    numbers: dict[int, list[int]] = {}
+    for r in query_blocks.select("dim", "block").orderBy("block").collect():
+        numbers.setdefault(r.dim, []).append(r.block)
     pairs = (
-        candidates.withColumnsRenamed({"n": "c_n", "ids": "c_ids", "numbers": "c_numbers"})
-        .withColumn("salt", F.pmod(F.xxhash64("c_ids"), F.lit(SALTS)))
-        .withColumn("block", F.explode(F.from_json(F.lit(str(numbers)), "array<bigint>")))
-        .join(query_blocks.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)).cast("array<bigint>"))), ["block", "salt"])
+        candidates.withColumn("salt", F.pmod(F.xxhash64("ids", "rows"), F.lit(SALTS)))
+        .withColumn("block", F.explode(F.from_json(F.lit(json.dumps(numbers)), "map<string,array<bigint>>")[F.col("dim").cast("string")]))
+        .withColumnsRenamed({c: f"c_{c}" for c in ("n", "wide", "ids", "rows", "numbers")})
+        .join(query_blocks.drop("dim").withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)).cast("array<bigint>"))), ["block", "salt"])
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             get = lambda name, r: batch.column(batch.schema.get_field_index(name))[r].as_py()
             for r in range(batch.num_rows):
-                ids, x = np.frombuffer(get("c_ids", r), "<i8"), np.frombuffer(get("c_numbers", r), "<i4").reshape(-1, dim)
-                q_ids, q = np.frombuffer(get("ids", r), "<i8"), np.frombuffer(get("numbers", r), "<i4").reshape(-1, dim)
-                x = x.astype(np.float64)
-                table = distances(x, pivots)
-                found = list(search(q.astype(np.float64), q_ids, x, ids, table, pivots, k))
-                if found:
-                    yield pa.RecordBatch.from_arrays(
-                        [
-                            pa.array(np.repeat([f[0] for f in found], [len(f[1]) for f in found]), pa.int64()),
-                            pa.array(np.concatenate([f[1] for f in found]), pa.int64()),
-                            pa.array(np.concatenate([f[2] for f in found]), pa.int64()),
-                        ],
-                        ["query_id", "id", "score"],
+                dim = get("dim", r)
+                (ids, rows, x), (q_ids, q_rows, q) = (
+                    (
+                        np.frombuffer(get(f"{side}ids", r), "<i8"),
+                        np.frombuffer(get(f"{side}rows", r), "<i8"),
+                        np.frombuffer(get(f"{side}numbers", r), "<f8" if get(f"{side}wide", r) else "<i4").reshape(get(f"{side}n", r), dim),
                     )
+                    for side in ("c_", "")
+                )
+                if get("c_wide", r) or get("wide", r):
+                    x, q = (whole_numbers(a, scale if a.dtype == "<f8" else 1) for a in (x, q))
+                    found = list(search_wide(q, q_rows, x, ids, rows, k))
+                    parts = [_ordered(s) for f in found for s in f[1]]
+                    score, size, digits = (pa.array([p[j] for p in parts], t) for j, t in enumerate((pa.int64(), pa.int32(), pa.string())))
+                    near = [np.array(f[0], np.int64) for f in found]
+                else:
+                    x, some = x.astype(np.float64), pivots.get(dim, np.zeros((1, dim)))
+                    found = list(search(q.astype(np.float64), q_ids, x, ids, distances(x, some), some, k, q_rows, rows))
+                    near = [f[1] for f in found]
+                    score = pa.array(np.concatenate([f[2] for f in found]), pa.int64())
+                    size, digits = pa.array(np.zeros(len(score), np.int32)), pa.nulls(len(score), pa.string())
+                counts = [len(n) for n in near]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.repeat(q_rows, counts)), pa.array(np.repeat(q_ids, counts)), pa.array(np.concatenate(near)), score, size, digits],
+                    ["query_row", "query_id", "id", "score", "size", "digits"],
+                )
 
-    near = pairs.mapInArrow(run, "query_id long, id long, score long")
-    order = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "id")
+    near = pairs.mapInArrow(run, "query_row long, query_id long, id long, score long, size int, digits string")
+    order = Window.partitionBy("query_row").orderBy(F.col("size").desc(), F.col("digits").desc(), F.col("score").desc(), "id")
     ranked = near.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
+    if text_scores:
+        digits = F.when(F.col("size") < 0, F.concat(F.lit("-"), F.translate("digits", "0123456789", "9876543210"))).otherwise(F.col("digits"))
+        ranked = ranked.withColumn("score", F.coalesce(digits, F.col("score").cast("string")))
     return ranked.select("query_id", "rank", F.col("id").alias(id_col), "score")
