@@ -92,3 +92,10 @@ def test_lengths_and_large_components(spark, first):
 def test_scores_of_64_bits_stay_numbers(spark):
     rows = [(0, [1e9]), (1, [2e9]), (2, [-3e38]), (3, [3e38]), (4, [1.0])]
     assert found(spark, rows, 9) == {0: [(3, None), (1, None), (4, 64 * 64 * 10**9), (2, None)]}
+
+
+def test_each_query_row_is_ranked_by_itself(spark):
+    r = np.random.default_rng(4)
+    rows = [(k % 60, [float(x) for x in r.normal(size=4)]) for k in range(150)]  # ids with two or three rows
+    rows += [rows[0], rows[0], rows[21]]  # equal rows
+    check_rows(spark, rows, 10)
