@@ -88,3 +88,11 @@ def test_blocked_product_keeps_what_reaches_the_bound():
     overlap = np.array([len(np.intersect1d(sets[a], sets[b])) for a, b in zip(left, right)])
     for need in (1, 5, 20, 40):
         assert jaccard.overlaps(sets, left, right, np.full(81, need)).tolist() == np.flatnonzero(overlap >= need).tolist()
+
+
+def test_classes_of_one_id_share_a_component(spark):
+    a, b, c, d = (cases.prose(k, 60) for k in range(70, 74))
+    rows = [(1, a), (2, b), (9, a), (9, b), (9, ""), (3, cases.edited(b, 5)), (4, c), (5, d), (7, c), (8, d), (8, c), (6, None), (6, "  ")]
+    got = jaccard.join(cases.frame(spark, [t for _, t in rows], [i for i, _ in rows]), 3, 80).collect()
+    assert sorted({(r["doc_id"], r["component_id"]) for r in got}) == [(1, 1), (2, 1), (3, 1), (4, 4), (5, 4), (6, 6), (7, 4), (8, 4), (9, 1)]
+    assert len(got) == len(rows)

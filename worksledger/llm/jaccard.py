@@ -265,6 +265,11 @@ def join(df: DataFrame, words: int, percent: int, id_col: str = "doc_id", text_c
     sets = landed(document_sets(docs, words), "sets")
     key = ["n", "fa", "fb"]
     classes = landed(sets.where((F.col("n") > 0) & F.col("id").isNotNull()).groupBy(*key).agg(F.min("id").alias("node")), "classes")
+    # an id with several texts links the heads of all their classes
+    several = sets.where(F.col("id").isNotNull()).groupBy("id").agg(F.min(F.struct(*key)).alias("low"), F.max(F.struct(*key)).alias("high")).where("low != high")
+    several = landed(sets.join(several.select("id"), "id", "left_semi").select("id", *key).distinct(), "several")
+    nodes = several.join(classes, key).select("id", "node")
+    same = nodes.join(nodes.groupBy("id").agg(F.min("node").alias("x")), "id").where("x < node").select("x", F.col("node").alias("y")).distinct()
     heads = classes.select(F.col("node").alias("id")).distinct()
     # a document stands for its class; other documents of the class stay out of what follows
     counts = count_table(named, words)
@@ -286,7 +291,7 @@ def join(df: DataFrame, words: int, percent: int, id_col: str = "doc_id", text_c
     star = shared.select(F.col("node").alias("x"), "n", F.col("pivot.node").alias("y"), F.col("pivot.n").alias("m"))
     star = star.where((F.col("x") != F.col("y")) & _sizes_fit(F.col("n"), F.col("m"), percent))
     tried = landed(fitting(star).select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y")).distinct(), "star")
-    links = landed(linked(named, tried, words, percent), "links")
+    links = landed(linked(named, tried, words, percent).union(same), "links")
     comps = components(links)
 
     bit = F.pmod(F.xxhash64("gram"), F.lit(64 * SIGNATURE))
@@ -312,5 +317,7 @@ def join(df: DataFrame, words: int, percent: int, id_col: str = "doc_id", text_c
         comps = components(links.union(more))
     labels = classes.join(comps, "node", "left").select(*key, F.coalesce("comp", "node").alias("component"))
     out = sets.join(labels, key, "left")
-    # an id with several texts has the least component of any of them
+    if several.limit(1).count():  # rows with an empty set too share the component of their id's others
+        own = several.join(labels, key).groupBy("id").agg(F.min("component").alias("own"))
+        out = out.join(own, "id", "left").withColumn("component", F.coalesce("own", "component"))
     return out.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), F.when(F.col("id").isNotNull(), F.coalesce("component", "id")).alias("component_id"))
