@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 import public_tokenizers
 
 import corpus_pipeline
-from worksledger.llm import bpe, jaccard, langid, packing, pivots, quality, secrets, suffixes, tokenfile, warc
+from worksledger.llm import bpe, jaccard, langid, packing, pivots, quality, secrets, suffixes, tokenfile, trie, warc
 from worksledger.llm.common import table
 from worksledger.session import scratch_path
 
@@ -81,6 +81,10 @@ def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffixes.dedup(table(spark, sf_dir, "documents"), length=400, digests=True)
 
 
+def op13_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return trie.trie(table(spark, sf_dir, "conversations"))
+
+
 def _urn(name: str) -> str:
     parts = ", ".join(f"substr(md5({name}), {a}, {n})" for a, n in ((1, 8), (9, 4), (13, 4), (17, 4), (21, 12)))
     return f"'<urn:uuid:' || concat_ws('-', {parts}) || '>'"
@@ -173,11 +177,48 @@ WITH vectors AS (
 SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM ranked WHERE rank <= 20
 """
 
+# crc holds the remainders of the 256 bytes; the CRC-32 of an id folds over its digits
+OP13_SQL = """
+WITH crc AS (
+  SELECT list(list_reduce([n, 0, 0, 0, 0, 0, 0, 0, 0],
+    lambda c, i: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) ORDER BY n) AS bytes
+  FROM (SELECT CAST(unnest(range(256)) AS BIGINT) AS n)
+), own AS (
+  SELECT conv_id AS c, list({'role': coalesce(role, ''), 'text': coalesce(text, '')}
+    ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS t
+  FROM conversations WHERE conv_id IS NOT NULL GROUP BY conv_id
+), heads AS (
+  SELECT c, t, xor(4294967295, list_reduce(
+    list_prepend(4294967295, list_transform(string_split(CAST(c AS VARCHAR), ''), lambda x: CAST(ord(x) AS BIGINT))),
+    lambda s, x: xor(s >> 8, bytes[(xor(s, x) & 255) + 1]))) % 6 AS h
+  FROM own, crc
+), built AS (
+  SELECT h.c, list_concat(coalesce(b.t[1:h.h], []), h.t[h.h + 1:]) AS t FROM heads h LEFT JOIN own b ON b.c = h.c - h.c % 100
+), prefixes AS (
+  SELECT c, t, d, t[1:d] AS p FROM (SELECT c, t, unnest(range(len(t) + 1)) AS d FROM built)
+), nodes AS (
+  SELECT p, d, min(c) AS conv_id, count(*) AS n_convs,
+    sha256(coalesce(string_agg(CASE WHEN len(t) = d THEN CAST(c AS VARCHAR) END, ',' ORDER BY c), '')) AS ends_sha256
+  FROM prefixes GROUP BY p, d
+), families AS (
+  SELECT p[1:d - 1] AS p, count(*) AS n_children FROM nodes WHERE d > 0 GROUP BY 1
+), weighed AS (
+  SELECT n.*, coalesce(f.n_children, 0) AS n_children, CASE WHEN d = 0 THEN 0 ELSE (n_convs - 1) * length(n.p[d].text) END AS saved
+  FROM nodes n LEFT JOIN families f USING (p)
+), subtrees AS (
+  SELECT p[1:k] AS p, sum(saved) AS saved, count(*) FILTER (n_children = 0) AS n_leaves
+  FROM (SELECT *, unnest(range(d + 1)) AS k FROM weighed) GROUP BY 1
+)
+SELECT w.conv_id, w.d AS depth, up.conv_id AS parent_conv_id, w.n_convs, w.n_children, s.n_leaves,
+  CAST(s.saved AS BIGINT) AS saved_tokens, w.ends_sha256
+FROM weighed w JOIN subtrees s USING (p) LEFT JOIN nodes up ON w.d > 0 AND up.p = w.p[1:w.d - 1]
+"""
+
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    named = {f.__name__: f for f in (op1_warc_derivatives, op2_secret_scan, op3_token_file, op4_quality_rules, op5_pattern_packing, op6_gru_language, op7_pivot_top_k, op8_jaccard_join, op9_bpe_roundtrip, op10_suffix_dedup)}
+    named = {f.__name__: f for f in (op1_warc_derivatives, op2_secret_scan, op3_token_file, op4_quality_rules, op5_pattern_packing, op6_gru_language, op7_pivot_top_k, op8_jaccard_join, op9_bpe_roundtrip, op10_suffix_dedup, op13_conversation_trie)}
     return named | {"pipeline": corpus_pipeline.run}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_warc_derivatives": OP1_SQL, "op4_quality_rules": OP4_SQL, "op7_pivot_top_k": OP7_SQL}
+    return {"op1_warc_derivatives": OP1_SQL, "op4_quality_rules": OP4_SQL, "op7_pivot_top_k": OP7_SQL, "op13_conversation_trie": OP13_SQL}
