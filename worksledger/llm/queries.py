@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 import public_tokenizers
 
 import corpus_pipeline
-from worksledger.llm import bpe, jaccard, langid, packing, pivots, quality, secrets, suffixes, tokenfile, trie, warc
+from worksledger.llm import align, bpe, jaccard, langid, packing, pivots, quality, secrets, suffixes, tokenfile, trie, warc
 from worksledger.llm.common import table
 from worksledger.session import scratch_path
 
@@ -81,6 +81,11 @@ def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffixes.dedup(table(spark, sf_dir, "documents"), length=400, digests=True)
 
 
+def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    paths = (public_tokenizers.path(name) for name in ("byte_bpe_50k.json", "piece_bpe_32k.model"))
+    return align.align(table(spark, sf_dir, "documents"), *paths)
+
+
 def op13_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return trie.trie(table(spark, sf_dir, "conversations"))
 
@@ -216,7 +221,7 @@ FROM weighed w JOIN subtrees s USING (p) LEFT JOIN nodes up ON w.d > 0 AND up.p
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    named = {f.__name__: f for f in (op1_warc_derivatives, op2_secret_scan, op3_token_file, op4_quality_rules, op5_pattern_packing, op6_gru_language, op7_pivot_top_k, op8_jaccard_join, op9_bpe_roundtrip, op10_suffix_dedup, op13_conversation_trie)}
+    named = {f.__name__: f for f in (op1_warc_derivatives, op2_secret_scan, op3_token_file, op4_quality_rules, op5_pattern_packing, op6_gru_language, op7_pivot_top_k, op8_jaccard_join, op9_bpe_roundtrip, op10_suffix_dedup, op11_token_alignment, op13_conversation_trie)}
     return named | {"pipeline": corpus_pipeline.run}
 
 
