@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 import public_tokenizers
 
 import corpus_pipeline
-from worksledger.llm import align, bpe, jaccard, langid, packing, pivots, quality, secrets, suffixes, tokenfile, trie, warc
+from worksledger.llm import align, bpe, extraction, jaccard, langid, packing, pivots, quality, secrets, suffixes, tokenfile, trie, warc
 from worksledger.llm.common import table
 from worksledger.session import scratch_path
 
@@ -86,6 +86,10 @@ def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return align.align(table(spark, sf_dir, "documents"), *paths)
 
 
+def op12_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extraction.extract(table(spark, sf_dir, "pages"))
+
+
 def op13_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return trie.trie(table(spark, sf_dir, "conversations"))
 
@@ -221,7 +225,7 @@ FROM weighed w JOIN subtrees s USING (p) LEFT JOIN nodes up ON w.d > 0 AND up.p
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    named = {f.__name__: f for f in (op1_warc_derivatives, op2_secret_scan, op3_token_file, op4_quality_rules, op5_pattern_packing, op6_gru_language, op7_pivot_top_k, op8_jaccard_join, op9_bpe_roundtrip, op10_suffix_dedup, op11_token_alignment, op13_conversation_trie)}
+    named = {f.__name__: f for f in (op1_warc_derivatives, op2_secret_scan, op3_token_file, op4_quality_rules, op5_pattern_packing, op6_gru_language, op7_pivot_top_k, op8_jaccard_join, op9_bpe_roundtrip, op10_suffix_dedup, op11_token_alignment, op12_main_text, op13_conversation_trie)}
     return named | {"pipeline": corpus_pipeline.run}
 
 
