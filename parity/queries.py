@@ -51,8 +51,8 @@ def _read_geojson(g: Given) -> DataFrame:
 
 
 def _read_geojson_splits(g: Given) -> DataFrame:
-    """The same features through the reader for collections of any size."""
-    return read_geojson(g.spark, g.features, layout="splits").drop("geometry")
+    """The same features, held by collections, through the reader for those of any size."""
+    return read_geojson(g.spark, g.collections, layout="splits").drop("geometry")
 
 
 def _read_parquet(g: Given) -> DataFrame:

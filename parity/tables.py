@@ -13,7 +13,7 @@ from dataclasses import dataclass
 from functools import cached_property
 from pathlib import Path
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from worksledger import constants as C
@@ -148,6 +148,23 @@ class Given:
         self.raw.select(F.to_json(feature)).write.text(path)
         return path
 
+    @cached_property
+    def collections(self) -> str:
+        """The same features as large collections, members in an unusual order; the folder's path."""
+        path = scratch_path(self.spark, "collections")
+        slots = self.spark.sparkContext.defaultParallelism
+        lines = self.spark.read.text(self.features).withColumn("id", F.monotonically_increasing_id())
+        lines = lines.withColumn("file", (F.col("id") % slots).cast("int"))
+        first = F.row_number().over(Window.partitionBy("file").orderBy("id")) == 1
+        texts = lines.select("file", F.lit(1).alias("part"), "id", F.concat(F.when(first, "").otherwise(","), "value").alias("text"))
+        ends = self.spark.range(slots).select(F.col("id").cast("int").alias("file"))
+        before, after = '{"name":"works","features":[', '],"type":"FeatureCollection"}'
+        for part, text in ((0, before), (2, after)):
+            texts = texts.union(ends.select("file", F.lit(part), F.lit(0).cast("bigint"), F.lit(text)))
+        placed = texts.repartition(slots, "file").sortWithinPartitions("file", "part", "id")
+        placed.select("file", "text").write.partitionBy("file").text(path)
+        return path
+
     @cached_property
     def summaries(self) -> dict[str, DataFrame]:
         return export_parquet(summary_tables(self.clean), self.base_dir)

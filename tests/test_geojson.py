@@ -84,23 +84,91 @@ def test_splits_lose_nothing_at_split_borders(spark, tmp_path):
         spark.conf.unset("spark.sql.files.openCostInBytes")
 
 
-@pytest.mark.parametrize(
-    "features",
-    [
-        [{"properties": {"Name": "late type"}, "geometry": None, "type": "Feature"}],
-        [{"properties": {"Name": "late type"}, "type": "Feature", "geometry": None}] * 2,
-        [feature("x", 1.0, Kind="Feature")],
-        [feature("a", 1.0), {"properties": {"Name": "no type"}, "geometry": None}, feature("b", 2.0)],
-        [feature("a", 1.0), {"id": 7} | feature("b", 2.0)],
-    ],
-)
-def test_splits_refuse_what_they_cannot_cut(spark, tmp_path, features):
-    path = write(tmp_path, json.dumps({"type": "FeatureCollection", "features": features}))
-    assert read_geojson(spark, path, SCHEMA).count() == len(features)
-    with pytest.raises(Exception, match="start with .type|MALFORMED"):
+ODD_FEATURES = [
+    [{"properties": {"Name": "late type"}, "geometry": None, "type": "Feature"}],
+    [{"properties": {"Name": "late type"}, "type": "Feature", "geometry": None}] * 2,
+    [feature("x", 1.0, Kind="Feature")],
+    [feature("a", 1.0), {"properties": {"Name": "no type"}, "geometry": None}, feature("b", 2.0)],
+    [feature("a", 1.0), {"id": 7} | feature("b", 2.0)],
+    [feature("deep", 1.0, properties={"features": [{"properties": {}}, [[{}]]]})],
+    [feature('quote " and \\', 1.0, Tail="\\"), feature("}{][", 2.0), {}, {"geometry": {"type": "Point", "coordinates": []}}],
+    [feature("x" * 900, 1.0)] * 2,
+]
+AROUND = [
+    lambda fs: {"type": "FeatureCollection", "features": fs},
+    lambda fs: {"features": fs, "type": "FeatureCollection", "bbox": [1, [2]], "crs": {"features": [{"a": 1}], "b": "]}"}},
+    lambda fs: {"links": [{"features": [{}]}, {}], "name": 'the \\"features\\": [', "features": fs, "more": [[{}, {}], []]},
+]
+
+
+def small_splits(spark, size):
+    spark.conf.set("spark.sql.files.maxPartitionBytes", f"{size}b")
+    spark.conf.set("spark.sql.files.openCostInBytes", "0")
+
+
+@pytest.fixture
+def splits_of(spark):
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    yield lambda size: small_splits(spark, size)
+    spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    spark.conf.unset("spark.sql.files.openCostInBytes")
+
+
+@pytest.mark.parametrize("indent", [None, 1])
+@pytest.mark.parametrize("around", range(len(AROUND)))
+def test_splits_give_the_rows_of_whole_documents(spark, tmp_path, splits_of, around, indent):
+    """Any order of members, at any border of splits."""
+    for k, features in enumerate(ODD_FEATURES):
+        text = json.dumps(AROUND[around](features), indent=indent)
+        write(tmp_path, text + "\n" * (k % 2), f"{k}.json")
+    want = sorted(map(str, read_geojson(spark, str(tmp_path), SCHEMA).collect()))
+    assert len(want) == sum(map(len, ODD_FEATURES))
+    for size in (10**9, 1009, 211):
+        splits_of(size)
+        assert sorted(map(str, read_geojson(spark, str(tmp_path), SCHEMA, layout="splits").collect())) == want
+
+
+BROKEN = [
+    "          ", "some text", "[ [ ] , [ ] ]", '{"type": "x"}', '{"features":null}', '{"features":[null]}', '{"features":[1]}', '{"features":[{},]}', '{"features":[{}{}]}',
+    '{"features":[,{}]}', '{"features":[{}],}', '{"features":[{}]', '{"features":[{}]}}', '{"features":[{}]} {"features":[{}]}',
+    '{"features":[{"properties":{"Cost":"many"}}]}', '{"features":[{"properties":{"Name":"a}]}', '{"features":[{} "x"]}', '{"a":{"features":[{}]}}',
+    '{"features":{"features":[{}]}}', '["features":[{}]]', '{"features":[{"a":]}}',
+]
+
+
+@pytest.mark.parametrize("text", BROKEN)
+def test_what_is_no_collection_is_refused_by_both(spark, tmp_path, splits_of, text):
+    path = write(tmp_path, text)
+    for layout in ("collection", "splits"):
+        with pytest.raises(Exception, match="FeatureCollection|MALFORMED"):
+            read_geojson(spark, path, SCHEMA, layout=layout).collect()
+    splits_of(max(7, len(text) // 3))
+    with pytest.raises(Exception, match="FeatureCollection|MALFORMED"):
         read_geojson(spark, path, SCHEMA, layout="splits").collect()
 
 
+def test_a_file_without_a_byte_has_no_features(spark, tmp_path):
+    for layout in ("collection", "splits", "lines"):
+        assert read_geojson(spark, write(tmp_path, ""), SCHEMA, layout=layout).count() == 0
+
+
+def test_a_byte_order_mark_and_trailing_blanks(spark, tmp_path):
+    path = write(tmp_path, "\ufeff" + COMPACT + " \n\n ")
+    for layout in ("collection", "splits"):
+        assert found(read_geojson(spark, path, SCHEMA, layout=layout)) == WANT
+
+
+def test_bare_features_in_splits(spark, tmp_path, splits_of):
+    one = write(tmp_path, json.dumps(FEATURES[0]) + "\n", "one.json")
+    assert found(read_geojson(spark, one, SCHEMA, layout="splits")) == [("plain", 1.5)]
+    many = write(tmp_path, NDJSON + "\n", "many.json")
+    splits_of(61)
+    assert found(read_geojson(spark, many, SCHEMA, layout="splits")) == WANT
+    comma = write(tmp_path, NDJSON.replace("\n", ",\n"), "comma.json")
+    with pytest.raises(Exception, match="MALFORMED"):
+        read_geojson(spark, comma, SCHEMA, layout="splits").collect()
+
+
 @pytest.mark.parametrize("text", [COMPACT, PRETTY])
 def test_lines_refuse_other_layouts(spark, tmp_path, text):
     with pytest.raises(Exception, match="one feature per line"):
