@@ -16,13 +16,14 @@ def _distinct(col: str) -> str:
     return f"CAST(COUNT(DISTINCT {col}) AS BIGINT)"
 
 
-def _sum(col: str, digits: int = 2) -> str:
-    """Exact, so that the order of rows cannot show in the last digits."""
-    return f"CAST(SUM(CAST({col} AS DECIMAL(18,{digits}))) AS DOUBLE)"
+def _sum(col: str) -> str:
+    """Of the doubles as they are, in units of 2**-60, so that the order of rows cannot show."""
+    unit = float(1 << 60)
+    return f"(CAST(SUM(CAST({col} * {unit!r} AS HUGEINT)) AS DOUBLE) / {unit!r})"
 
 
-def _avg(col: str, digits: int = 2) -> str:
-    return f"({_sum(col, digits)} / COUNT({col}))"
+def _avg(col: str) -> str:
+    return f"({_sum(col)} / COUNT({col}))"
 
 
 def _pct(part: str, whole: str, digits: int) -> str:
@@ -181,7 +182,7 @@ _BY_TYPE_SUMMARY = f"""
 SELECT type_of_work, {_N} AS total_projects,
        ROUND({_sum('contract_cost')}, 2) AS total_cost,
        ROUND({_avg('contract_cost')}, 2) AS avg_cost,
-       ROUND({_avg('cost_efficiency_ratio', 4)}, 4) AS avg_efficiency
+       ROUND({_avg('cost_efficiency_ratio')}, 4) AS avg_efficiency
 FROM clean GROUP BY type_of_work"""
 
 _BY_YEAR_SUMMARY = f"""

@@ -1,10 +1,13 @@
 from __future__ import annotations
 
+from pathlib import Path
+
 import pytest
 from pyspark.sql import functions as F
 
 from tests.conftest import column, plan_text
-from worksledger.operators import breakdowns, filters, ordering
+from worksledger import session
+from worksledger.operators import breakdowns, filters, ordering, ranks
 from worksledger.operators.cleaning import clean_projects
 
 
@@ -174,6 +177,74 @@ def test_pages_put_together_are_the_sorted_table(spark, deep_from):
     assert tuple(ordering.page_count(df, 25).first()) == (103, 5)
 
 
+@pytest.fixture
+def stored(spark, tmp_path):
+    path = str(tmp_path / "stored")
+    rows = spark.range(2000).selectExpr("id", "cast(id % 7 AS string) AS x", "if(id % 3 = 0, 1, id % 5) AS y", "repeat('z', 50) AS wide")
+    rows.unionAll(rows.where("id < 3")).repartition(9).write.parquet(path)
+    return spark.read.parquet(path)
+
+
+@pytest.mark.parametrize("deep_from", [10**6, 0])
+@pytest.mark.parametrize("filtered", [False, True])
+def test_pages_of_stored_rows(spark, stored, deep_from, filtered):
+    df = stored.filter("y = 1").select("x", "id", "wide") if filtered else stored
+    order = ordering.sort_order(df, "x", "asc")
+    size = 97
+    pages = [ordering.paginate(df, order, k, size, deep_from).collect() for k in range(df.count() // size + 2)]
+    assert [len(p) for p in pages[:-2]] == [size] * (len(pages) - 2) and pages[-1] == []
+    got = [r for p in pages for r in p]
+    assert sorted(got) == sorted(df.collect()) and [r.x for r in got] == sorted(r.x for r in got)
+
+
+def test_two_deep_pages_are_one_sort(stored, monkeypatch):
+    built = []
+    build = ranks.RankIndex.build.__func__
+    monkeypatch.setattr(ranks.RankIndex, "build", classmethod(lambda cls, *a: built.append(1) or build(cls, *a)))
+    first = ordering.paginate(stored, ordering.sort_order(stored, "x"), 3, 20, deep_from=0)
+    second = ordering.paginate(stored, ordering.sort_order(stored, "x"), 7, 20, deep_from=0)
+    assert len(built) == 1 and first.count() == second.count() == 20
+    ordering.paginate(stored, ordering.sort_order(stored, "y"), 7, 20, deep_from=0)
+    assert len(built) == 2
+    # of the table, a page reads the files of its rows; it sorts those rows only
+    plan = plan_text(first)
+    assert "BroadcastHashJoin" in plan and "rangepartitioning(_rank" in plan and "rangepartitioning(x" not in plan
+    assert "file_path" in plan.split("PartitionFilters")[0]
+
+
+def test_indexes_hold_places_and_are_removed(spark, stored, monkeypatch):
+    ranks.forget_indexes()
+    monkeypatch.setattr(ranks, "MOST_INDEXES", 1)
+    page = ordering.paginate(stored, ordering.sort_order(stored, "x"), 3, 20, deep_from=0)
+    (kept,) = [index for _, index in ranks._INDEXES.values()]
+    assert set(spark.read.parquet(kept.path).columns) == {*ranks.PLACE, "_rank"}
+    ordering.paginate(stored, ordering.sort_order(stored, "y"), 3, 20, deep_from=0)
+    assert not Path(kept.path).exists() and len(ranks._INDEXES) == 1
+    assert page.count() == 20  # a page does not need the index any more
+    ranks.forget_indexes()
+    assert not ranks._INDEXES
+    with pytest.raises(ValueError, match="shared folder"):
+        session.remove(spark, "/somewhere/else")
+
+
+def test_rows_without_a_place_are_indexed_whole(spark, stored):
+    grouped = stored.groupBy("x", "y").count()
+    assert ranks.located(grouped) is None and ranks.located(stored.join(stored.limit(1), "id")) is None
+    assert ranks.located(stored.select("id", F.explode(F.array("x", "y")))) is None
+    order = ordering.sort_order(grouped, "y", "asc", ["x"])
+    got = [r for k in range(6) for r in ordering.paginate(grouped, order, k, 7, deep_from=0).collect()]
+    assert got == grouped.orderBy(*order).collect()[:42]
+
+
+def test_an_index_follows_the_files(spark, stored, tmp_path):
+    order = ordering.sort_order(stored, "id", "asc")
+    assert ordering.paginate(stored, order, 1, 10, deep_from=0).count() == 10
+    stored.limit(5).write.mode("append").parquet(str(tmp_path / "stored"))
+    more = spark.read.parquet(str(tmp_path / "stored"))
+    last = ordering.paginate(more, ordering.sort_order(more, "id", "asc"), 200, 10, deep_from=0)
+    assert last.count() == 8
+
+
 def test_top_k_cuts_ties_in_a_fixed_order(spark):
     df = spark.createDataFrame([("b", 1), ("a", 1), ("c", 2), (None, 1)], "k string, n int")
     assert column(ordering.top_k(df.repartition(3), "n", 2, ["k"]), "k") == ["c", "a"]

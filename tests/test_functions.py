@@ -183,7 +183,7 @@ def test_exact_sum_is_exact_and_order_independent(spark):
         ([float("inf"), 1.0], float("inf")),
         ([1e22, -1e22, 5.5], 5.5),
         ([None, 2.5], 2.5),
-        ([-0.1, -0.2, -999.9], -1000.2),
+        ([-0.1, -0.2, -999.9], math.fsum([-0.1, -0.2, -999.9])),  # not rounded to -1000.2
     ],
 )
 def test_values_beyond_money_do_not_stop_a_sum(spark, values, want):
@@ -192,6 +192,33 @@ def test_values_beyond_money_do_not_stop_a_sum(spark, values, want):
     assert df.agg(fn.exact_sum("x").alias("s")).first().s == want == merged.first().s
 
 
+@pytest.mark.parametrize(
+    "values",
+    [
+        [0.00004] * 1000,
+        [1e-13, 3e-11, -7e-9, 1e-5] * 40,
+        [1e13 + 0.5, -1e13, 0.25, 12345678901234.56] * 30,
+        [8e27, 1.0, -8e27, 1e-12, 2.0**-60],
+        [1.0, 2.0**-53, 2.0**-80],
+        [1.0, 2.0**-53],
+        [-1.0, -(2.0**-53), -(2.0**-90)],
+        [2.0**95, 2.0**42, -(2.0**-40)],
+        [0.1] * 7 + [-0.7],
+        [0.0, -0.0],
+        [1e-13],
+        [2.0**-43],
+    ],
+)
+def test_exact_sum_is_the_nearest_double(spark, values):
+    """Whatever sizes and signs are mixed, and however the rows are spread."""
+    want = math.fsum(values)
+    for parts in (1, 5):
+        df = spark.createDataFrame([(v,) for v in values], "x double").repartition(parts)
+        assert df.agg(fn.exact_sum("x").alias("s")).first().s == want
+        merged = df.groupBy(F.spark_partition_id()).agg(*fn.sum_parts("x")).agg(fn.merged_sum("x").alias("s"))
+        assert merged.first().s == want
+
+
 def test_exact_avg_skips_nulls(spark):
     df = spark.createDataFrame([(1.0,), (None,), (2.0,)], "x double")
     row = df.agg(fn.exact_avg("x").alias("a")).first()

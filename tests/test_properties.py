@@ -131,6 +131,18 @@ def test_exact_sum_is_the_true_sum(spark, values, parts):
     assert math.isclose(got, cents / 100, rel_tol=1e-15, abs_tol=1e-9)
 
 
+SIZES = st.builds(lambda m, e: m * 2.0**e, st.floats(-2, 2, allow_nan=False), st.integers(-40, 90)).filter(
+    lambda x: x == 0 or 2.0**-43 <= abs(x) < 2.0**92
+)
+
+
+@FEW
+@given(st.lists(SIZES, min_size=1, max_size=60), st.integers(1, 6))
+def test_exact_sum_is_correctly_rounded_at_any_size(spark, values, parts):
+    df = spark.createDataFrame([(v,) for v in values], "x double").repartition(parts)
+    assert df.agg(fn.exact_sum("x").alias("s")).first().s == math.fsum(values)
+
+
 @FEW
 @given(
     st.lists(

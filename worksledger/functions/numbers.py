@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from decimal import Decimal
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -73,44 +72,96 @@ def scale_units(col: Column | str, unit: str) -> Column:
     return _col(col) / _UNITS[unit]
 
 
-# Larger values are no money; they are summed as doubles, so that one of them
-# neither overflows the exact parts nor stops a job.
-_HUGE = 1e13
+# A sum is kept in digits of 24 bits. The lowest is worth 2**-96, and eight of them reach
+# 2**96 (8e28). Digits are summed as bigint, which holds for 1e12 rows a group.
+_WIDTH = 24
+_LOWEST = -96
+_DIGITS = 8
+_TINY = 2.0 ** (_LOWEST + 53)  # below it a value can have bits under the lowest digit
+_HUGE = 2.0 ** (_LOWEST + _WIDTH * _DIGITS)
+_ODD = "odd"  # the sum of tiny and huge values
+_COUNT = "count"
+_PARTS = [*(f"s{k}" for k in range(_DIGITS)), _ODD, _COUNT]
 
+# The expressions are written as SQL: built call by call, one sum would take half a second.
 
-def _split(col: Column | str) -> tuple[Column, Column, Column]:
-    """Whole thousands and the rest in 1/10000 units, or else the huge value."""
-    c = _col(col).cast("double")
-    usual = F.abs(c) < _HUGE
-    thousands = F.floor(c / 1000.0)
-    rest = F.rint((c - thousands * 1000.0) * 10000.0).cast("bigint")
-    return F.when(usual, thousands), F.when(usual, rest), F.when(~usual, c)
+
+def _name(col: str) -> str:
+    return "`" + col.replace("`", "``") + "`"
 
 
-def _join(thousands: Column, rest: Column, huge: Column) -> Column:
-    whole = thousands.cast("decimal(19,0)") * F.lit(Decimal(1000))
-    exact = (whole + rest.cast("decimal(19,0)") / F.lit(Decimal(10000))).cast("double")
-    return F.coalesce(exact + huge, exact, huge)
+def _power(exponent: int) -> str:
+    return f"{2.0**exponent!r}D"
 
 
-def exact_sum(col: Column | str) -> Column:
+def _split(col: str) -> dict[str, str]:
+    """Aggregates of a column: its signed digits, lowest first, what is tiny or huge, and its values.
+
+    A digit is the value in units of its own bit less that in units of the next digit,
+    both rounded to integers. All steps are exact: they scale by powers of two, or
+    subtract neighbours.
+    """
+    c = f"CAST({_name(col)} AS DOUBLE)"
+    usual = f"coalesce(abs({c}) < {_HUGE!r}D AND (abs({c}) >= {_TINY!r}D OR {c} = 0), false)"
+    value = f"IF({usual}, {c}, 0D)"
+    units = [f"rint({value} * {_power(-(_LOWEST + _WIDTH * k))})" for k in range(_DIGITS)]
+    above = [*(f"{u} * {_power(_WIDTH)}" for u in units[1:]), "0D"]
+    parts = [f"sum(CAST({u} - {a} AS BIGINT))" for u, a in zip(units, above)]
+    odd = f"sum(IF({c} IS NULL OR {usual}, 0D, {c}))"
+    return dict(zip(_PARTS, [*parts, odd, f"count({c})"]))
+
+
+def _carried(sums: Sequence[str]) -> str:
+    """Array of the digits, carried: from 0 to 2**24 - 1, lowest first, the last two of the carry."""
+    held, out = "", []
+    for s in sums:
+        held = f"({s} + shiftright({held}, {_WIDTH}))" if held else s
+        out.append(f"{held} & {(1 << _WIDTH) - 1}L")
+    return f"array({', '.join(out)}, shiftright({held}, {_WIDTH}) & {(1 << _WIDTH) - 1}L, shiftright({held}, {2 * _WIDTH}))"
+
+
+def _bound(value: str, name: str, use: str) -> str:
+    """use, in which name stands for the value, computed once."""
+    return f"transform(array({value}), {name} -> {use})[0]"
+
+
+def _nearest(sums: str) -> str:
+    """The double nearest to an array of summed digits; ties to even."""
+    at = [f"x[{k}]" for k in range(_DIGITS)]
+    # the first four digits that are not zero hold 73 bits or more; what follows only breaks ties
+    digit = [f"element_at(d, k - {n} + 1)" for n in range(4)]
+    upper = f"CAST({digit[0]} * {1 << _WIDTH}L + {digit[1]} AS DECIMAL(16,0)) * {1 << (2 * _WIDTH + 1)}BD"
+    rest = "IF(exists(slice(d, 1, k - 3), y -> y != 0), 1L, 0L)"
+    lower = f"CAST(2L * ({digit[2]} * {1 << _WIDTH}L + {digit[3]}) + {rest} AS DECIMAL(16,0))"
+    # digit k - 3 behind three zeros is worth 2 ** (lowest + 24 * (k - 6)), and the whole is doubled
+    rounded = f"CAST({upper} + {lower} AS DOUBLE) * pow(2D, {_LOWEST - 1} + {_WIDTH} * (k - 6))"
+    first = "greatest(array_max(transform(d, (y, i) -> IF(y != 0, i, 0))), 3)"
+    value = _bound(f"concat(array(0L, 0L, 0L), {_carried([f'{x} * z' for x in at])})", "d", _bound(first, "k", rounded))
+    sign = f"IF({_carried(at)}[{_DIGITS + 1}] < 0, -1L, 1L)"
+    return _bound(sums, "x", _bound(sign, "z", f"z * {value}"))
+
+
+def _joined(parts: dict[str, str]) -> str:
+    exact = _nearest(f"array({', '.join(parts[f's{k}'] for k in range(_DIGITS))})")
+    return f"IF({parts[_COUNT]} > 0, {exact} + {parts[_ODD]}, CAST(NULL AS DOUBLE))"
+
+
+def exact_sum(col: str) -> Column:
     """Sum of a double column that does not depend on the order of rows.
 
-    A double sum changes in its last digits with the partitioning, which shows
-    once totals are rounded to cents. Each value is therefore split into whole
-    thousands and a remainder in 1/10000 units; both are summed as ``bigint`` in
-    generated code (about as fast as a double sum, several times faster than a
-    decimal one) and put together once per group. Holds for 9e8 rows a group of
-    the largest values, and 9e11 of up to ten billion. Values are taken at four
-    decimals.
+    A double sum changes in its last digits with the partitioning, which shows once totals
+    are rounded to cents. Here no value is rounded: each is cut into digits of 24 bits at
+    fixed exponents, which are summed as ``bigint`` in generated code and carried once per
+    group; the result is the double nearest to the true sum, whatever signs and sizes are
+    mixed. That holds for values from 1e-13 to 8e28 (and 0); smaller and larger ones,
+    infinities and NaN are added as doubles.
     """
-    return _join(*[F.sum(part) for part in _split(col)])
+    return F.expr(_joined(_split(col)))
 
 
-def exact_avg(col: Column | str) -> Column:
+def exact_avg(col: str) -> Column:
     """``exact_sum`` over the number of non-null values; NULL for none."""
-    n = F.count(_col(col))
-    return F.when(n > 0, exact_sum(col) / n)
+    return exact_sum(col) / F.count(col)
 
 
 def sum_parts(col: str) -> list[Column]:
@@ -119,19 +170,12 @@ def sum_parts(col: str) -> list[Column]:
     ``merged_sum(col)`` and ``merged_avg(col)`` over these equal ``exact_sum(col)``
     and ``exact_avg(col)`` over the rows themselves.
     """
-    thousands, rest, huge = _split(col)
-    return [
-        F.sum(thousands).alias(f"{col}_thousands"),
-        F.sum(rest).alias(f"{col}_rest"),
-        F.sum(huge).alias(f"{col}_huge"),
-        F.count(col).alias(f"{col}_count"),
-    ]
+    return [F.expr(part).alias(f"{col}_{name}") for name, part in _split(col).items()]
 
 
 def merged_sum(col: str) -> Column:
-    return _join(*[F.sum(f"{col}_{part}") for part in ("thousands", "rest", "huge")])
+    return F.expr(_joined({name: f"sum({_name(f'{col}_{name}')})" for name in _PARTS}))
 
 
 def merged_avg(col: str) -> Column:
-    n = F.sum(f"{col}_count")
-    return F.when(n > 0, merged_sum(col) / n)
+    return merged_sum(col) / F.sum(f"{col}_{_COUNT}")

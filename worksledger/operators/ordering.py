@@ -10,16 +10,14 @@ from pyspark.sql import types as T
 
 from worksledger import constants as C
 from worksledger.functions import null_display, scale_units, truncate_text
+from worksledger.operators import ranks
 from worksledger.operators.filters import ProjectFilter, apply_filter, search
-from worksledger.session import scratch_path
 
 # Up to this many leading rows a page is a bounded top-k; beyond it, see below.
 DEEP_PAGE_ROWS = 1_000
 _GROUPS = 256
 _GROUP = "_partition_group"
 _RANK = "_rank_in_group"
-_ROW = "_sorted_row"
-_PARTITION_BITS = 33  # monotonically_increasing_id: partition << 33 | row
 
 
 def _largest_first(metric: str, tie_breakers: Sequence[str]) -> list[Column]:
@@ -94,10 +92,12 @@ def sort_order(
 
 
 def _whole_row(df: DataFrame) -> list[Column]:
-    """Ends an order: a hash of the row, which also deals rows of one value over all
-    tasks of a sort, then the columns themselves. Only equal rows tie."""
+    """Ends an order: two hashes of the row, of 64 bits each. Rows that still tie are equal rows.
+
+    They also deal the rows of one value over all tasks of a sort.
+    """
     plain = [f.name for f in df.schema if not isinstance(f.dataType, T.MapType)]
-    return [F.xxhash64(*plain), *[F.col(c).asc_nulls_last() for c in plain]]
+    return [F.xxhash64(*plain), F.xxhash64(F.lit(1), *reversed(plain))]
 
 
 def sort_table(
@@ -122,40 +122,21 @@ def paginate(
 ) -> DataFrame:
     """Rows of one zero-based page of the ordered table.
 
-    The order is completed by the whole row, so that pages never repeat or leave out
-    a row, on whichever way they are found.
+    The order is completed by the whole row, so that pages never repeat or leave out a
+    row, on whichever way they are found: up to ``deep_from`` rows by a bounded top-k,
+    further down in the rank index of the table and order. Of a table of stored files
+    only the sort keys and the places of the rows are moved; the rows of the page are
+    then read from their files.
     """
     order = [*order, *_whole_row(df)]
     start = page * size
-    if start + size <= deep_from:
+    if start + size > deep_from:
+        return ranks.index_of(df, order).page(df, start, size)
+    placed = ranks.located(df)
+    if placed is None:
         return top_rows(df, order, start + size).orderBy(*order).offset(start)
-    return _deep_page(df, order, start, size)
-
-
-def _deep_page(df: DataFrame, order: Sequence[Column], start: int, size: int) -> DataFrame:
-    """A page far down, without moving the rows before it through one task.
-
-    The range-partitioned sort is written once to the shared folder with a row
-    number made of partition and position. Row counts per sort partition (as many
-    numbers as there are partitions) then tell which interval of it is the page.
-    """
-    spark = df.sparkSession
-    path = scratch_path(spark, "sorted")
-    df.orderBy(*order).withColumn(_ROW, F.monotonically_increasing_id()).write.parquet(path)
-    numbered = spark.read.parquet(path)
-    part = F.shiftright(_ROW, _PARTITION_BITS).alias("part")
-    sizes = sorted(numbered.groupBy(part).agg(F.count("*").alias("n")).collect())
-
-    def row_at(rank: int) -> int:
-        for p, n in sizes:
-            if rank < n:
-                return (p << _PARTITION_BITS) + rank
-            rank -= n
-        return (1 << 63) - 1
-
-    low, after = row_at(start), row_at(start + size)
-    row = F.col(_ROW)
-    return numbered.filter((row >= low) & (row < after)).orderBy(_ROW).drop(_ROW)
+    found = top_rows(placed, order, start + size).orderBy(*order).offset(start)
+    return ranks.fetch(df, found.select(*ranks.PLACE).collect())
 
 
 def page_count(df: DataFrame, size: int = C.PAGE_SIZE) -> DataFrame:

@@ -81,3 +81,11 @@ def shared_folder(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path below the shared folder; nothing is ever overwritten there."""
     return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Remove a folder below the shared folder, and nothing else."""
+    if not path.startswith(f"{shared_folder(spark)}/"):
+        raise ValueError(f"{path} is not in the shared folder")
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
