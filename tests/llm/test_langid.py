@@ -69,3 +69,14 @@ def test_the_sample_is_bounded(spark, monkeypatch):
     monkeypatch.setattr(langid, "train", lambda segments, labels, languages: seen.update(n=len(segments)))
     langid.fit(cases.frame(spark), "text", "lang", F.xxhash64("doc_id"))
     assert seen["n"] == 4 * langid.SEGMENTS
+
+
+def test_a_column_tells_what_the_operator_does(spark):
+    net = langid.Network.fresh(["a", "b"])
+    df = cases.awkward(spark)
+    rows = langid.identify(df.select("text"), net).collect()
+    for least in (0.0, 0.5):
+        want = sorted(str((r["text"], r["lang_pred"] if r["lang_pred"] != langid.UNKNOWN and r["score"] >= least else None)) for r in rows)
+        told = df.select("text", langid.recognised(F.col("text"), net, least).alias("p")).collect()
+        assert sorted(map(str, map(tuple, told))) == want
+    assert cases.empty(spark).where(langid.recognised(F.col("text"), net) == "a").count() == 0

@@ -15,6 +15,7 @@ columns other than id and text are never inputs.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -22,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from worksledger.llm.common import joined_bytes, map_texts
+from worksledger.llm.common import give_back, joined_bytes, map_texts, pieces
 
 LENGTH = 64
 HIDDEN = 8
@@ -206,26 +207,49 @@ def predict(net: Network, texts: pa.Array) -> np.ndarray:
     return sums / np.maximum(letters, 1)[:, None]
 
 
+def _told(net: Network | None, texts: pa.Array) -> tuple[list[str], np.ndarray]:
+    """Language and probability of each text."""
+    some = [t is not None and any(map(str.isalpha, t)) for t in texts.to_pylist()]
+    lang, score = [UNKNOWN] * len(texts), np.zeros(len(texts))
+    if net is not None and any(some):
+        p = predict(net, texts)
+        best = p.argmax(axis=1)
+        lang = [net.languages[b] if s else UNKNOWN for b, s in zip(best, some)]
+        score = np.where(some, np.clip(p[np.arange(len(p)), best], 0, 1), 0.0)
+    return lang, score
+
+
 def identify(df: DataFrame, net: Network | None, text_col: str = "text", lang_to: str = "lang_pred", score_to: str = "score") -> DataFrame:
     """df with the predicted language and its probability."""
     at = df.columns.index(text_col)
     names = [*df.columns, lang_to, score_to]
 
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:
-        texts = batch.column(at)
-        some = [t is not None and any(map(str.isalpha, t)) for t in texts.to_pylist()]
-        lang, score = [UNKNOWN] * len(texts), np.zeros(len(texts))
-        if net is not None and any(some):
-            p = predict(net, texts)
-            best = p.argmax(axis=1)
-            lang = [net.languages[b] if s else UNKNOWN for b, s in zip(best, some)]
-            score = np.where(some, np.clip(p[np.arange(len(p)), best], 0, 1), 0.0)
+        lang, score = _told(net, batch.column(at))
         return pa.RecordBatch.from_arrays([*batch.columns, pa.array(lang, pa.string()), pa.array(score, pa.float64())], names)
 
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema)
     return map_texts(df, f"{schema}, `{lang_to}` string, `{score_to}` double", work, at)
 
 
+def recognised(text: Column, net: Network | None, least_score: float = 0.0) -> Column:
+    """The predicted language as a column; null where there is none, or with a lower probability.
+
+    Only the text leaves the JVM, and only the answer comes back.
+    """
+
+    @F.arrow_udf("string")
+    def told(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for texts in batches:
+            out: list[str | None] = []
+            for piece in pieces(pa.RecordBatch.from_arrays([texts], names=["text"]), 0):
+                out += [x if x != UNKNOWN and s >= least_score else None for x, s in zip(*_told(net, piece.column(0)))]
+            yield pa.array(out, pa.string())
+        give_back()
+
+    return told(text)
+
+
 def fold(id_col: str = "doc_id") -> Column:
     """crc32 of the id as text, modulo 4."""
     return F.crc32(F.col(id_col).cast("string").cast("binary")) % 4
