@@ -32,10 +32,9 @@ SEQUENCE = 2048
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     net = langid.fit(docs, "text", "lang", F.xxhash64("doc_id"))
-    found = langid.identify(docs, net, lang_to="__lang", score_to="__score")
     if net is None:  # nothing to learn from: only documents without a letter are known to go
-        return found.where(F.regexp_like("text", F.lit(r"\p{L}"))).select(*docs.columns)
-    return found.where((F.col("__lang") != langid.UNKNOWN) & (F.col("__score") >= LEAST_SCORE)).select(*docs.columns)
+        return docs.where(F.regexp_like("text", F.lit(r"\p{L}")))
+    return docs.where(langid.recognised(F.col("text"), net, LEAST_SCORE).isNotNull())
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
