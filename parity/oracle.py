@@ -9,6 +9,28 @@ _RAW_TEXT = [*_TEXT, "FundingYear", "StartDate", "CompletionDateActual", "EditDa
 _FILES = {"clean": C.CLEAN_FILE, "region": C.REGION_FILE, "type": C.WORK_TYPE_FILE,
           "year": C.YEAR_FILE, "contractor": C.CONTRACTOR_FILE}
 
+# The cube answers as the clean table does, and a job returns what its parts do.
+CUBE_QUERIES = tuple(
+    f"cube_{name}"
+    for name in (
+        "kpi_overview", "kpi_overview_filtered", "by_year", "by_work_type_top8", "by_cost_category",
+        "by_region", "by_province_drill_down", "by_contractor_top25", "facet_work_type", "year_series",
+    )
+)
+JOB_QUERIES = {
+    "ingest_job_regions": "value_distribution",
+    "ingest_job_numbers": "numeric_profile",
+    "transform_job_clean": "clean_projects",
+    "transform_job_regions": "summary_by_region",
+    "transform_job_work_types": "summary_by_work_type",
+    "transform_job_contractors": "summary_top_contractors",
+    "transform_job_cost_categories": "cost_category_distribution",
+    "transform_job_completeness": "completeness",
+    "export_job_clean": "clean_projects",
+    "export_job_regions": "summary_by_region",
+    "export_job_years": "summary_by_year",
+}
+
 _N = "CAST(COUNT(*) AS BIGINT)"
 
 
@@ -287,6 +309,13 @@ _RAW_COLUMNS = ", ".join(f'"{c}"' for c in [
 
 
 def oracle_sql() -> dict[str, str]:
+    made = _direct()
+    cube = {name: made[name.removeprefix("cube_")] for name in CUBE_QUERIES}
+    jobs = {name: made[same] for name, same in JOB_QUERIES.items()}
+    return made | cube | jobs
+
+
+def _direct() -> dict[str, str]:
     explorer = f"SELECT {_EXPLORER} FROM clean"
     sorted_500 = (
         f"SELECT *, row_number() OVER (ORDER BY lower(contractor) DESC NULLS LAST, project_id, "
@@ -519,6 +548,10 @@ def oracle_sql() -> dict[str, str]:
             f"{_FAILURES} AS failures, {_pct(_PASSED, 'COUNT(*)', 1)} AS score FROM checks",
             _CHECKS,
         ),
+        "dataset_sizes_checked": _union([
+            f"SELECT '{name}' AS name, true AS positive, true AS adds_up, true AS pct_by_formula"
+            for name in [*_FILES.values(), "total"]
+        ]),
         "ingest_job": nulls,
         "transform_job": _clean(_BY_YEAR_SUMMARY),
         "export_job": _clean(_TOP100),

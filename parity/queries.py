@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import lru_cache
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -20,8 +21,9 @@ from worksledger.operators import (
     quality,
     summaries,
 )
-from worksledger.plans.jobs import export, ingest, publish, transform, verify
+from worksledger.plans.jobs import Ingested, Transformed, export, ingest, publish, transform, verify
 from worksledger.session import scratch_path
+from worksledger.operators.quality import file_sizes
 from worksledger.sinks import (
     dataset_sizes,
     export_csv,
@@ -95,6 +97,21 @@ def _dataset_sizes(g: Given) -> DataFrame:
     return dataset_sizes(g.spark, paths, f"{g.sf_dir}/lineitem.parquet")
 
 
+def _dataset_sizes_checked(g: Given) -> DataFrame:
+    """What must hold of sizes, which differ from run to run: the total adds up, its percentage is by formula."""
+    sizes = _dataset_sizes(g)
+    parts = sizes.filter("name <> 'total'").agg(F.sum("bytes")).scalar()
+    source = file_sizes(g.spark, f"{g.sf_dir}/lineitem.parquet").agg(F.sum("length")).scalar()
+    is_total = F.col("name") == "total"
+    smaller = F.round((source - F.col("bytes")) / source * 100, 1)
+    return sizes.select(
+        "name",
+        (F.col("bytes") > 0).alias("positive"),
+        F.when(is_total, F.col("bytes") == parts).otherwise(True).alias("adds_up"),
+        F.when(is_total, F.abs(F.col("pct_smaller") - smaller) < 0.11).otherwise(F.col("pct_smaller").isNull()).alias("pct_by_formula"),
+    )
+
+
 # --- expressions --------------------------------------------------------------
 
 
@@ -215,18 +232,19 @@ def _checks(g: Given) -> DataFrame:
     ).unionByName(quality.summary_years_complete(g.clean, g.summaries[C.YEAR_FILE]))
 
 
-def _ingest(g: Given) -> DataFrame:
-    landed = ingest(g.spark, g.features, scratch_path(g.spark, "ingest"), layout="lines")
-    return landed.profile["nulls"]
+@lru_cache(maxsize=4)
+def _ingested(g: Given) -> Ingested:
+    return ingest(g.spark, g.features, scratch_path(g.spark, "ingest"), layout="lines")
 
 
-def _transform(g: Given) -> DataFrame:
-    return transform(g.raw, scratch_path(g.spark, "transform")).summaries[C.YEAR_FILE]
+@lru_cache(maxsize=4)
+def _transformed(g: Given) -> Transformed:
+    return transform(g.raw, scratch_path(g.spark, "transform"))
 
 
-def _export(g: Given) -> DataFrame:
-    written = export(_published(g), scratch_path(g.spark, "export"), SOURCE)
-    return written[C.CONTRACTOR_FILE]
+@lru_cache(maxsize=4)
+def _exported(g: Given) -> dict[str, DataFrame]:
+    return export(_published(g), scratch_path(g.spark, "export"), SOURCE)
 
 
 def _verify(g: Given) -> DataFrame:
@@ -269,6 +287,7 @@ _QUERIES: dict[str, Query] = {
     "export_csv_roundtrip": _export_csv,
     "manifest": _manifest,
     "dataset_sizes": _dataset_sizes,
+    "dataset_sizes_checked": _dataset_sizes_checked,
     # expressions
     "clean_text": _clean_text,
     "zero_fill": _zero_fill,
@@ -354,13 +373,35 @@ _QUERIES: dict[str, Query] = {
     "region_bars": lambda g: breakdowns.region_bars(g.clean),
     "province_bars": lambda g: breakdowns.province_bars(g.clean, None, "AFRICA"),
     "contractor_bars": lambda g: breakdowns.contractor_bars(g.clean),
+    # the same questions to the cube
+    "cube_kpi_overview": lambda g: breakdowns.kpi_overview(g.cube),
+    "cube_kpi_overview_filtered": lambda g: breakdowns.kpi_overview(g.cube, SELECTED),
+    "cube_by_year": lambda g: breakdowns.by_year(g.cube, SELECTED),
+    "cube_by_work_type_top8": lambda g: breakdowns.by_work_type(g.cube),
+    "cube_by_cost_category": lambda g: breakdowns.by_cost_category(g.cube, SELECTED),
+    "cube_by_region": lambda g: breakdowns.by_region(g.cube),
+    "cube_by_province_drill_down": lambda g: breakdowns.by_province(g.cube, BY_YEAR, "EUROPE"),
+    "cube_by_contractor_top25": lambda g: breakdowns.by_contractor(g.cube),
+    "cube_facet_work_type": lambda g: breakdowns.facets(g.cube)["type_of_work"],
+    "cube_year_series": lambda g: breakdowns.year_series(g.cube),
     # quality
     "quality_checks_core": _checks,
     "quality_report": lambda g: quality.quality_report(_checks(g)),
     # jobs
-    "ingest_job": _ingest,
-    "transform_job": _transform,
-    "export_job": _export,
+    "ingest_job": lambda g: _ingested(g).profile["nulls"],
+    "ingest_job_regions": lambda g: _ingested(g).profile["regions"],
+    "ingest_job_numbers": lambda g: _ingested(g).profile["numbers"],
+    "transform_job": lambda g: _transformed(g).summaries[C.YEAR_FILE],
+    "transform_job_clean": lambda g: _transformed(g).clean,
+    "transform_job_regions": lambda g: _transformed(g).summaries[C.REGION_FILE],
+    "transform_job_work_types": lambda g: _transformed(g).summaries[C.WORK_TYPE_FILE],
+    "transform_job_contractors": lambda g: _transformed(g).summaries[C.CONTRACTOR_FILE],
+    "transform_job_cost_categories": lambda g: _transformed(g).profile["cost_categories"],
+    "transform_job_completeness": lambda g: _transformed(g).profile["completeness"],
+    "export_job": lambda g: _exported(g)[C.CONTRACTOR_FILE],
+    "export_job_clean": lambda g: _exported(g)[C.CLEAN_FILE],
+    "export_job_regions": lambda g: _exported(g)[C.REGION_FILE],
+    "export_job_years": lambda g: _exported(g)[C.YEAR_FILE],
     "verify_job": _verify,
     "publish_report": _publish,
 }

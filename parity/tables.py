@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 from worksledger import constants as C
 from worksledger.operators.cleaning import clean_projects
+from worksledger.operators.cube import cube
 from worksledger.plans.jobs import CLUSTER_BY, summary_tables
 from worksledger.schemas import RAW_SCHEMA
 from worksledger.session import scratch_path
@@ -133,6 +134,10 @@ class Given:
         path = f"{self.base_dir}/{C.CLEAN_FILE}"
         return materialise(clean_projects(self.raw), path, CLUSTER_BY).table
 
+    @cached_property
+    def cube(self) -> DataFrame:
+        return materialise(cube(self.clean), f"{self.base_dir}/cube", CLUSTER_BY).table
+
     @cached_property
     def features(self) -> str:
         """The raw records as GeoJSON, one feature per line; the folder's path."""

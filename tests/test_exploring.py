@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tests.conftest import column, plan_text
 from worksledger import session
-from worksledger.operators import breakdowns, filters, ordering, ranks
+from worksledger.operators import breakdowns, cube, filters, ordering, ranks
 from worksledger.operators.cleaning import clean_projects
 
 
@@ -245,6 +245,30 @@ def test_an_index_follows_the_files(spark, stored, tmp_path):
     assert last.count() == 8
 
 
+SELECTIONS = [
+    None,
+    filters.ProjectFilter(year=2021, work_type="Pump"),
+]
+
+
+@pytest.mark.parametrize("selected", SELECTIONS)
+def test_the_cube_answers_as_the_table(clean, selected):
+    cubed = cube.cube(clean.unionAll(clean).unionAll(clean.limit(0))).cache()
+    table = clean.unionAll(clean).cache()
+    questions = [
+        breakdowns.kpi_overview, breakdowns.by_year, breakdowns.by_work_type, breakdowns.by_cost_category,
+        breakdowns.by_region, breakdowns.by_province, breakdowns.by_contractor, breakdowns.year_series,
+        breakdowns.work_type_shares, breakdowns.cost_category_shares, breakdowns.region_bars,
+        breakdowns.province_bars, breakdowns.contractor_bars,
+    ]
+    for ask in questions:
+        assert ask(cubed, selected).collect() == ask(table, selected).collect(), ask.__name__
+    assert {k: v.collect() for k, v in breakdowns.facets(cubed).items()} == {
+        k: v.collect() for k, v in breakdowns.facets(table).items()
+    }
+    assert cubed.count() <= clean.count() and cube.cube(clean.limit(0)).count() == 0
+
+
 def test_top_k_cuts_ties_in_a_fixed_order(spark):
     df = spark.createDataFrame([("b", 1), ("a", 1), ("c", 2), (None, 1)], "k string, n int")
     assert column(ordering.top_k(df.repartition(3), "n", 2, ["k"]), "k") == ["c", "a"]

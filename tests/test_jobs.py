@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from tests.conftest import BASE
 from worksledger import constants as C
 from worksledger.__main__ import main
+from worksledger.operators import breakdowns
 from worksledger.operators.quality import QualityError, Thresholds, enforce
 from worksledger.plans import jobs
 from worksledger.session import shared_folder, sized_for
@@ -47,6 +48,10 @@ def test_all_stages(spark, source, tmp_path):
     assert spark.read.parquet(f"{run_dir}/profile/duplicates").first().duplicates == 100
     files = spark.read.json(f"{run_dir}/{C.MANIFEST_FILE}").select(F.inline("files")).collect()
     assert [f.rows for f in files] == [200, 3, 1, 1, 1]
+    sizes = {r.name: r.bytes for r in spark.read.json(f"{run_dir}/{jobs.SIZES_FILE}").collect()}
+    assert sizes.pop("total") == sum(sizes.values()) and set(sizes) == set(C.VIEWS.values())
+    cube = spark.read.parquet(f"{run_dir}/{jobs.CUBE_FILE}")
+    assert tuple(breakdowns.kpi_overview(cube).first()) == tuple(breakdowns.kpi_overview(spark.table("flood_control")).first())
 
 
 def test_a_failed_check_keeps_the_previous_run(spark, source, tmp_path):

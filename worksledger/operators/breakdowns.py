@@ -1,4 +1,7 @@
-"""Answers to the interactive questions: KPIs, breakdowns, facets, series."""
+"""Answers to the interactive questions: KPIs, breakdowns, facets, series.
+
+Each takes the clean table or its cube (``cube.cube``), with the same result.
+"""
 
 from __future__ import annotations
 
@@ -7,15 +10,14 @@ from pyspark.sql import functions as F
 
 from worksledger import constants as C
 from worksledger.functions import (
-    exact_sum,
     merged_avg,
     merged_sum,
     percent,
     round_half,
     scale_units,
-    sum_parts,
     truncate_text,
 )
+from worksledger.operators.cube import cost_parts, projects, total_cost
 from worksledger.operators.filters import ProjectFilter, apply_filter, drill_down
 from worksledger.operators.ordering import top_k
 
@@ -28,10 +30,9 @@ def kpi_overview(df: DataFrame, selected: ProjectFilter | None = None) -> DataFr
     Grouped by (region, contractor) first, so that the two distinct counts
     multiply those groups and not the rows.
     """
-    groups = (
-        apply_filter(df, selected)
-        .groupBy("region", "contractor")
-        .agg(F.count("*").alias("projects"), *sum_parts(_COST))
+    chosen = apply_filter(df, selected)
+    groups = chosen.groupBy("region", "contractor").agg(
+        projects(chosen).alias("projects"), *cost_parts(chosen)
     )
     return groups.agg(
         F.coalesce(F.sum("projects"), F.lit(0)).alias("total_projects"),
@@ -44,7 +45,7 @@ def kpi_overview(df: DataFrame, selected: ProjectFilter | None = None) -> DataFr
 
 def _breakdown(df: DataFrame, dimension: str, cost: str, *more: Column) -> DataFrame:
     return df.groupBy(dimension).agg(
-        F.count("*").alias("projects"), round_half(exact_sum(_COST), 0).alias(cost), *more
+        projects(df).alias("projects"), round_half(total_cost(df), 0).alias(cost), *more
     )
 
 

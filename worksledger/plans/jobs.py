@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import time
 import uuid
-from collections.abc import Mapping
+from collections.abc import Iterable, Mapping
 from dataclasses import dataclass
 from functools import reduce
 
@@ -15,14 +15,17 @@ from pyspark.sql import types as T
 from worksledger import constants as C
 from worksledger.operators import profiling, quality, summaries
 from worksledger.operators.cleaning import KEY, CleaningRules, clean_projects
+from worksledger.operators.cube import cube
 from worksledger.operators.quality import Thresholds
 from worksledger.schemas import RAW_SCHEMA
 from worksledger.session import sized_for
-from worksledger.sinks import export_parquet, manifest, materialise, write_manifest
+from worksledger.sinks import dataset_sizes, export_parquet, manifest, materialise, write_manifest
 from worksledger.sources import describe_schema, read_geojson
 
 # Neighbouring rows share these, which is what the interactive filters test.
 CLUSTER_BY = ("region", "infra_year", "type_of_work")
+CUBE_FILE = "cube.parquet"
+SIZES_FILE = "sizes.json"
 
 REPORT_SCHEMA = T.StructType(
     [
@@ -64,7 +67,8 @@ def ingest(
     layout: str = "collection",
 ) -> Ingested:
     """Land the source as Parquet at ``out``; profiles are lazy tables."""
-    raw, rows = materialise(read_geojson(spark, src, schema, layout), out)
+    with sized_for(spark, _bytes_below(spark, src)):
+        raw, rows = materialise(read_geojson(spark, src, schema, layout), out)
     return Ingested(raw, rows, raw_profile(raw))
 
 
@@ -88,7 +92,8 @@ def transform(
     """
     clean, rows = clean_projects(raw, rules), None
     if land_at:
-        clean, rows = materialise(clean, land_at, CLUSTER_BY)
+        with sized_for(raw.sparkSession, _estimated_bytes(raw)):
+            clean, rows = materialise(clean, land_at, CLUSTER_BY)
     return Transformed(clean, rows, summary_tables(clean), clean_profile(raw, clean))
 
 
@@ -111,13 +116,24 @@ def clean_profile(raw: DataFrame, clean: DataFrame) -> dict[str, DataFrame]:
     }
 
 
-def export(tables: Mapping[str, DataFrame], out_dir: str, source: str) -> dict[str, DataFrame]:
-    """Write the tables and the manifest; returns them read back."""
-    written = export_parquet(tables, out_dir)
+def export(
+    tables: Mapping[str, DataFrame], out_dir: str, source: str, source_path: str | None = None
+) -> dict[str, DataFrame]:
+    """Write the tables, the manifest and the sizes of both; returns the tables read back."""
+    spark = next(iter(tables.values())).sparkSession
+    with sized_for(spark, sum(map(_estimated_bytes, tables.values()))):
+        written = export_parquet(tables, out_dir)
     write_manifest(manifest(written, source), f"{out_dir.rstrip('/')}/{C.MANIFEST_FILE}")
+    _write_sizes(spark, written, out_dir, source_path)
     return written
 
 
+def _write_sizes(spark: SparkSession, names: Iterable[str], out_dir: str, source_path: str | None) -> None:
+    base = out_dir.rstrip("/")
+    sizes = dataset_sizes(spark, {name: f"{base}/{name}" for name in names}, source_path)
+    sizes.coalesce(1).write.mode("overwrite").json(f"{base}/{SIZES_FILE}")  # a row per table
+
+
 def verify(
     clean: DataFrame,
     summaries_by_file: Mapping[str, DataFrame],
@@ -175,9 +191,11 @@ def publish(
             landed = ingest(spark, src, f"{run_dir}/raw", schema, layout)
             result = transform(landed.raw, f"{run_dir}/{C.CLEAN_FILE}", rules)
             written = export_parquet(result.summaries, run_dir)
+            materialise(cube(result.clean), f"{run_dir}/{CUBE_FILE}", CLUSTER_BY)
             export_parquet(landed.profile | result.profile, f"{run_dir}/profile")
             tables = {C.CLEAN_FILE: result.clean, **written}
             write_manifest(manifest(tables, source), f"{run_dir}/{C.MANIFEST_FILE}")
+            _write_sizes(spark, tables, run_dir, src)
             checks = materialise(
                 verify(result.clean, written, run_dir, result.rows, expected), f"{run_dir}/checks"
             ).table
@@ -207,6 +225,16 @@ def _bytes_below(spark: SparkSession, path: str) -> int:
     return files.agg(F.sum("length")).first()[0] if files is not None else 0
 
 
+_UNKNOWN_BYTES = 1 << 60  # what a plan reports that does not know its size
+
+
+def _estimated_bytes(df: DataFrame) -> int:
+    """Bytes of the stored files that a plan reads, by the optimizer's statistics."""
+    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    sizes = [int(leaves.apply(k).stats().sizeInBytes()) for k in range(leaves.size())]
+    return sum(size for size in sizes if size < _UNKNOWN_BYTES)
+
+
 def _promote(spark: SparkSession, base: str, run_dir: str) -> None:
     line = spark.range(1).select(
         F.lit(run_dir).alias("run_dir"), F.current_timestamp().alias("promoted_at")
