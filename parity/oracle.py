@@ -9,7 +9,7 @@ _RAW_TEXT = [*_TEXT, "FundingYear", "StartDate", "CompletionDateActual", "EditDa
 _FILES = {"clean": C.CLEAN_FILE, "region": C.REGION_FILE, "type": C.WORK_TYPE_FILE,
           "year": C.YEAR_FILE, "contractor": C.CONTRACTOR_FILE}
 
-# The cube answers as the clean table does, and a job returns what its parts do.
+# The cube and the clustered copy answer as the clean table does, a job returns what its parts do.
 CUBE_QUERIES = tuple(
     f"cube_{name}"
     for name in (
@@ -17,7 +17,7 @@ CUBE_QUERIES = tuple(
         "by_region", "by_province_drill_down", "by_contractor_top25", "facet_work_type", "year_series",
     )
 )
-JOB_QUERIES = {
+SAME_QUERIES = {
     "ingest_job_regions": "value_distribution",
     "ingest_job_numbers": "numeric_profile",
     "transform_job_clean": "clean_projects",
@@ -29,6 +29,7 @@ JOB_QUERIES = {
     "export_job_clean": "clean_projects",
     "export_job_regions": "summary_by_region",
     "export_job_years": "summary_by_year",
+    "filter_projects_clustered": "filter_projects",
 }
 
 _N = "CAST(COUNT(*) AS BIGINT)"
@@ -311,7 +312,7 @@ _RAW_COLUMNS = ", ".join(f'"{c}"' for c in [
 def oracle_sql() -> dict[str, str]:
     made = _direct()
     cube = {name: made[name.removeprefix("cube_")] for name in CUBE_QUERIES}
-    jobs = {name: made[same] for name, same in JOB_QUERIES.items()}
+    jobs = {name: made[same] for name, same in SAME_QUERIES.items()}
     return made | cube | jobs
 
 

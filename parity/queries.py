@@ -16,6 +16,7 @@ from worksledger.operators import (
     cleaning,
     dedup,
     filters,
+    layout,
     ordering,
     profiling,
     quality,
@@ -203,6 +204,14 @@ def _null_display(g: Given) -> DataFrame:
     )
 
 
+def _filter_clustered(g: Given) -> DataFrame:
+    """The selection of filter_projects from a clustered copy of the clean table."""
+    path = scratch_path(g.spark, "clustered")
+    layout.write_clustered(g.clean, path, g.spark.sparkContext.defaultParallelism)
+    chosen = filters.ProjectFilter("ASIA", "1999", "STANDARD", C.COST_CLASSES[2][1])
+    return layout.read_clustered(g.spark, path, chosen).select(*g.clean.columns)
+
+
 # --- sorting and paging -------------------------------------------------------
 
 
@@ -332,6 +341,7 @@ _QUERIES: dict[str, Query] = {
     "filter_projects": lambda g: filters.filter_projects(
         g.clean, "ASIA", "1999", "STANDARD", C.COST_CLASSES[2][1]
     ),
+    "filter_projects_clustered": _filter_clustered,
     "search_projects": lambda g: filters.search(g.clean, TERM).select(
         "global_id", *C.EXPLORER_COLUMNS
     ),

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tests.conftest import column, plan_text
 from worksledger import session
-from worksledger.operators import breakdowns, cube, filters, ordering, ranks
+from worksledger.operators import breakdowns, cube, filters, layout, ordering, ranks
 from worksledger.operators.cleaning import clean_projects
 
 
@@ -245,6 +245,36 @@ def test_an_index_follows_the_files(spark, stored, tmp_path):
     assert last.count() == 8
 
 
+def test_a_selection_opens_the_files_it_needs(spark, clean, tmp_path):
+    """Files opened before and after clustering; one region holds most rows."""
+    many = spark.range(6000).select(
+        F.when(F.col("id") % 3 > 0, "Hot").otherwise(F.concat(F.lit("R"), F.col("id") % 20)).alias("region"),
+        (2000 + F.col("id") % 11).cast("int").alias("infra_year"),
+        F.when(F.col("id") % 5 > 0, F.concat(F.lit("T"), F.col("id") % 5)).alias("type_of_work"),
+        F.lit("Low").alias("cost_category"),
+        F.concat(F.lit("G"), "id").alias("global_id"),
+    )
+    plain, clustered = str(tmp_path / "plain"), str(tmp_path / "clustered")
+    many.repartition(24).write.parquet(plain)
+    layout.write_clustered(many, clustered, 24)
+    sizes = [r.rows for r in spark.read.parquet(f"{clustered}/spans").collect()]
+    assert len(sizes) == 24 and sum(sizes) == 6000 and max(sizes) < 1000  # "Hot" has 4000 rows
+    for selected in (
+        filters.ProjectFilter(region="R3"),
+        filters.ProjectFilter(region="Hot", year=2004),
+        filters.ProjectFilter(region="Hot", year="2004", work_type="T2", cost_category="Low"),
+        filters.ProjectFilter(work_type="T1"),
+        filters.ProjectFilter(region="none"),
+        None,
+    ):
+        want = filters.apply_filter(spark.read.parquet(plain), selected)
+        got = layout.read_clustered(spark, clustered, selected)
+        assert sorted(got.collect(), key=str) == sorted(want.collect(), key=str)
+        opened = len(layout.files_for(spark, clustered, selected))
+        if selected and selected.region:
+            assert opened <= 4 and len({r.f for r in want.select(F.input_file_name().alias("f")).collect()}) >= opened
+
+
 SELECTIONS = [
     None,
     filters.ProjectFilter(year=2021, work_type="Pump"),

@@ -22,14 +22,18 @@ class ProjectFilter:
     work_type: str | None = None
     cost_category: str | None = None
 
-    def conditions(self) -> list[Column]:
-        chosen = {
+    def chosen(self) -> dict[str, str | int]:
+        """Columns restricted to a value."""
+        every = {
             "region": self.region,
             "infra_year": self._year(),
             "type_of_work": self.work_type,
             "cost_category": self.cost_category,
         }
-        return [F.col(c) == F.lit(v) for c, v in chosen.items() if v not in (None, "")]
+        return {c: v for c, v in every.items() if v not in (None, "")}
+
+    def conditions(self) -> list[Column]:
+        return [F.col(c) == F.lit(v) for c, v in self.chosen().items()]
 
     def _year(self) -> int | None:
         if self.year in (None, ""):
