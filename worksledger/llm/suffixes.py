@@ -440,7 +440,8 @@ def repeated_spans(docs: DataFrame, length: int, read: Read = joined_bytes) -> D
 def dedup(df: DataFrame, length: int, id_col: str = "doc_id", text_col: str = "text", digests: bool = False, keep_columns: bool = False, words: bool = False) -> DataFrame:
     """id, n_bytes, `removed` (spans of bytes, in order and apart) and `kept` (what is left).
 
-    digests: n_removed, n_spans and kept_sha256 in place of the last two. keep_columns: df
+    digests: n_removed, n_spans, kept_sha256 and, as text, what is left (without characters cut
+    in two) in place of the last two. keep_columns: df
     with its text cut instead (characters cut in two go) and rows left as they are. words: length counts words, see above.
     """
     whole = df.withColumn("__id", F.coalesce(F.col(id_col).cast("long"), F.lit(-1))).withColumn("__b", F.xxhash64(text_col))
@@ -488,8 +489,9 @@ def dedup(df: DataFrame, length: int, id_col: str = "doc_id", text_col: str = "t
                 pa.array([r[2] - len(r[1]) for r in results], pa.int64()),
                 pa.array([len(r[0]) for r in results], pa.int64()),
                 pa.array([hashlib.sha256(r[1]).hexdigest() for r in results]),
+                pa.array([r[1].decode(errors="ignore") for r in results], pa.string()),
             ]
-            return pa.RecordBatch.from_arrays([batch.column(0), sizes, *values], [id_col, "n_bytes", "n_removed", "n_spans", "kept_sha256"])
+            return pa.RecordBatch.from_arrays([batch.column(0), sizes, *values], [id_col, "n_bytes", "n_removed", "n_spans", "kept_sha256", "text"])
         kind = pa.list_(pa.struct([("start", pa.int64()), ("stop", pa.int64())]))
         removed = pa.array([[{"start": a, "stop": b} for a, b in r[0]] for r in results], kind)
         return pa.RecordBatch.from_arrays([batch.column(0), sizes, removed, pa.array([r[1] for r in results], pa.binary())], [id_col, "n_bytes", "removed", "kept"])
@@ -497,6 +499,6 @@ def dedup(df: DataFrame, length: int, id_col: str = "doc_id", text_col: str = "t
     if keep_columns:
         schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema)
     else:
-        last = "n_removed long, n_spans long, kept_sha256 string" if digests else "removed array<struct<start:bigint,stop:bigint>>, kept binary"
+        last = "n_removed long, n_spans long, kept_sha256 string, text string" if digests else "removed array<struct<start:bigint,stop:bigint>>, kept binary"
         schema = f"`{id_col}` {df.schema[id_col].dataType.simpleString()}, n_bytes long, {last}"
     return map_texts(hit.union(clean), schema, work, at)
