@@ -43,6 +43,9 @@ HEADLINE = [
     "by_province_drill_down",
     "by_contractor_top25",
     "facet_work_type",
+    "cube_kpi_overview_filtered",
+    "cube_by_province_drill_down",
+    "cube_by_contractor_top25",
     "search_projects",
     "project_explorer",
     "sort_table_desc",
@@ -79,6 +82,8 @@ def main() -> None:
     seconds = {"land_raw": timed(lambda: tables.raw), "land_clean": timed(lambda: tables.clean)}
     seconds["land_summaries"] = timed(lambda: tables.summaries)
     seconds["land_features"] = timed(lambda: tables.features)
+    seconds["land_collections"] = timed(lambda: tables.collections)
+    seconds["land_cube"] = timed(lambda: tables.cube)
     every = queries()
     for name in HEADLINE:
         seconds[name] = timed(

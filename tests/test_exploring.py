@@ -162,6 +162,22 @@ def test_top_rows_are_those_of_a_plain_sort(spark, partitions):
     assert ordering.top_rows(df, order, 9999).count() == 5000
 
 
+def test_top_rows_are_limited_before_the_shuffle_in_any_session(spark):
+    """Also for a k beyond what the session plans as a limit per group."""
+    df = spark.range(0, 5000, 1, 30).selectExpr("id", "id % 101 AS v")
+    order = [F.col("v").desc(), F.col("id").asc()]
+    name = "spark.sql.optimizer.windowGroupLimitThreshold"
+    before = spark.conf.get(name)
+    try:
+        for threshold, node in (("50", "TakeOrderedAndProject"), ("1000", "WindowGroupLimit")):
+            spark.conf.set(name, threshold)
+            got = ordering.top_rows(df, order, 120)
+            assert node in plan_text(got)
+            assert got.collect() == df.orderBy(*order).limit(120).collect()
+    finally:
+        spark.conf.set(name, before)
+
+
 @pytest.mark.parametrize("deep_from", [10**6, 0])
 def test_pages_put_together_are_the_sorted_table(spark, deep_from):
     df = spark.range(103).selectExpr("id", "cast(id % 10 AS string) AS x").repartition(5)

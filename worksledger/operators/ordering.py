@@ -36,8 +36,13 @@ def top_rows(df: DataFrame, order: Sequence[Column], k: int) -> DataFrame:
     ``orderBy().limit(k)`` sends k rows from every task to one place, which for a
     table of a million splits is more than one place can take. Here the tasks'
     leading rows are merged in a bounded number of groups first, each of which
-    hands on k rows; both steps are map-side limits as in ``dedup_latest``.
+    hands on k rows; both steps are map-side limits as in ``dedup_latest``. Spark plans
+    them up to a k that the session sets; beyond it the plain limit, which is one on the
+    map side as well, is better than a shuffle of the table.
     """
+    most = int(df.sparkSession.conf.get("spark.sql.optimizer.windowGroupLimitThreshold", "1000"))
+    if k > most:
+        return df.orderBy(*order).limit(k)
     in_group = Window.partitionBy(_GROUP).orderBy(*order)
     leading = (
         df.withColumn(_GROUP, F.spark_partition_id() % _GROUPS)

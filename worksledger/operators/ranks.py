@@ -12,6 +12,7 @@ import atexit
 from bisect import bisect_right
 from collections import OrderedDict
 from collections.abc import Sequence
+from contextlib import suppress
 from dataclasses import dataclass
 from itertools import accumulate
 
@@ -132,4 +133,7 @@ def _remove(spark: SparkSession, index: RankIndex) -> None:
         remove(spark, index.path)
 
 
-atexit.register(forget_indexes)
+@atexit.register
+def _at_exit() -> None:
+    with suppress(Exception):  # the session may be gone
+        forget_indexes()
