@@ -35,9 +35,11 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from worksledger.llm.common import GOLDEN, U64, joined_bytes, landed, map_texts, mix64, pieces, ragged
+from worksledger.llm.common import GOLDEN, U64, give_back, joined_bytes, landed, map_texts, mix64, pieces, ragged
 
 SKETCH = 20
+#: Bytes of text whose words are hashed together; some fifty times as much is held meanwhile.
+SLICE = 1 << 20
 #: Counters of a row in which a task hands on its part of the table.
 LANES = 64
 #: Bits, as a power of two, of the bitmap that tells which texts a round needs.
@@ -115,7 +117,7 @@ def document_sets(docs: DataFrame, words: int) -> DataFrame:
         b = np.array([mix64(s ^ GOLDEN).sum(dtype=U64) for s in sets], U64).view(np.int64)
         return pa.RecordBatch.from_arrays([batch.column(0), pa.array([len(s) for s in sets], pa.int64()), pa.array(a), pa.array(b)], ["id", "n", "fa", "fb"])
 
-    return map_texts(docs, "id long, n long, fa long, fb long", work)
+    return map_texts(docs, "id long, n long, fa long, fb long", work, size=SLICE)
 
 
 def count_table(docs: DataFrame, words: int) -> np.ndarray:
@@ -125,9 +127,10 @@ def count_table(docs: DataFrame, words: int) -> np.ndarray:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(size, np.int64)
         for batch in batches:
-            for piece in pieces(batch, 1):
+            for piece in pieces(batch, 1, SLICE):
                 sets = shingle_sets(piece.column(1), words)
                 total += np.bincount((np.concatenate(sets) >> U64(64 - SKETCH)).astype(np.int64), minlength=size)
+        give_back()
         if total.any():
             lanes = total.reshape(-1, LANES)
             yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(lanes)), pa.int32()), *(pa.array(lanes[:, k]) for k in range(LANES))], ["row", *(f"c{k}" for k in range(LANES))])
@@ -156,7 +159,7 @@ def first_grams(docs: DataFrame, counts: np.ndarray, words: int, percent: int) -
         grams = np.concatenate([p[0] for p in parts]).view(np.int64) if parts else np.zeros(0, np.int64)
         return pa.RecordBatch.from_arrays([pa.array(grams), column(1), column(2), pa.array(ragged(k)), column(3)], ["gram", "node", "n", "pos", "rarest"])
 
-    return map_texts(docs, "gram long, node long, n long, pos long, rarest long", work)
+    return map_texts(docs, "gram long, node long, n long, pos long, rarest long", work, size=SLICE)
 
 
 def only(docs: DataFrame, ids: DataFrame) -> DataFrame:
@@ -180,6 +183,7 @@ def only(docs: DataFrame, ids: DataFrame) -> DataFrame:
             b = batch.column(batch.schema.get_field_index("spot")).to_numpy() - 1
             hit = shared.value[b >> 3] >> (b & 7) & 1
             yield batch.filter(pa.array(hit.astype(bool))).drop_columns(["spot"])
+        give_back()
 
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
     near = docs.withColumn("spot", bit("id")).mapInArrow(run, schema)
@@ -236,6 +240,7 @@ def linked(docs: DataFrame, pairs: DataFrame, words: int, percent: int) -> DataF
                 total = sizes[left] + sizes[right]
                 hit = overlaps(sets, left, right, np.maximum(1, -(-percent * total // (100 + percent))))
                 yield batch.select(["x", "y"]).take(pa.array(hit))
+        give_back()
 
     return both.select("x", "y", "x_text", "y_text").mapInArrow(run, "x long, y long")
 
