@@ -1,5 +1,6 @@
 import hashlib
 import re
+import time
 from collections import Counter
 
 from hypothesis import given, settings
@@ -119,3 +120,20 @@ def test_redaction(spark):
 def test_a_long_run_without_blanks_is_scanned_in_one_go():
     text = "a" * 200_000 + " = " + "b" * 200_000
     assert secrets.scan(text) is not None
+
+
+def test_many_assignments_in_one_text_take_time_in_proportion():
+    def seconds(n):
+        text = "\n".join(f'name_{k} = "v{k}abcdef"' for k in range(n))
+        started = time.perf_counter()
+        secrets.literals(text)
+        return time.perf_counter() - started
+
+    assert seconds(16_000) < 12 * min(seconds(4_000) for _ in range(3))  # 16 if in the square
+
+
+def test_a_chain_tells_of_its_literal():
+    assert found('db_password = x = y = "Tr0ub4dor&3x"') == [("Tr0ub4dor&3x", "y")]
+    assert found('a = b = c = "Tr0ub4dor&3x"') == []
+    assert found('a = password = a = "Tr0ub4dor&3x"') == [("Tr0ub4dor&3x", "a")]
+    assert found("a = password = a") == []

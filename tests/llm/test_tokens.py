@@ -21,9 +21,7 @@ RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 
 
 def library(path):
-    t = Tokenizer.from_file(path)
-    t.encode_special_tokens = True
-    return t
+    return Tokenizer.from_file(path)  # as it is loaded: names of special tokens are these tokens
 
 
 @pytest.fixture(scope="module")
@@ -36,7 +34,7 @@ def plain():
 def odd_texts(n=400):
     r = random.Random(3)
     signs = " \n\t\r\x0b\xa0 　\x1c\x85abcdeéßñö日本語中文0123'sStT,.!?#_-\U0001f600́Ωж"
-    special = ["<|endoftext|>", "a<|endoftext|>b <|", "don't we'll.'s ''ll x.'y a1b2.3,4 É.é's"]
+    special = ["<|endoftext|>", "a<|endoftext|>b <|", " x <|endoftext|> y<|startoftext|><|endoftext|>|>", "<|end<|endoftext|>\xa0<|ENDOFTEXT|>", "don't we'll.'s ''ll x.'y a1b2.3,4 É.é's"]
     return [*special, *("".join(r.choice(signs) for _ in range(r.randint(0, 200))) for _ in range(n))]
 
 
@@ -58,6 +56,25 @@ def test_a_full_table_starts_again(monkeypatch):
         assert lex.encode([text])[0].tolist() == want
 
 
+@pytest.mark.parametrize("path, split", [(BYTES, lexicon.spaced_pieces), (WORDS, lexicon.words)])
+def test_marks_as_ordinary_text(path, split):
+    texts, plainly = odd_texts(50), Tokenizer.from_file(path)
+    plainly.encode_special_tokens = True
+    ids, counts = lexicon.library_lexicon(path, split, marks=False).encode(texts)
+    expected = [x.ids for x in plainly.encode_batch(texts, add_special_tokens=False)]
+    assert [ids[e - c : e].tolist() for e, c in zip(np.cumsum(counts), counts)] == expected
+
+
+@pytest.mark.parametrize("sign", ["\xa0", "\u65e5"])
+def test_long_pieces_are_bounded_by_their_size(monkeypatch, sign):
+    monkeypatch.setattr(lexicon, "LIMIT_CHARS", 3000)
+    lex = lexicon.Lexicon(lexicon.library_lexicon(BYTES, lexicon.spaced_pieces).encode_pieces, lexicon.spaced_pieces)
+    for k in range(12):
+        text = sign.join(cases.prose(k, 150).split(" "))
+        assert lex.encode([text])[0].tolist() == library(BYTES).encode(text, add_special_tokens=False).ids
+        assert lex.held <= 3000 + len(text)
+
+
 def test_matrices_encode_as_the_library(plain):
     r = random.Random(5)
     long = ["a" * 3000, "ab" * 800, "".join(r.choice("etaoinshrdlu") for _ in range(3000)), " " * 700, "\n" * 90 + "x"]

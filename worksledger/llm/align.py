@@ -77,14 +77,6 @@ def merge_path(a_ends: np.ndarray, b_ends: np.ndarray, steps: int = STEPS) -> tu
 class _Bounded(Lexicon):
     """A lexicon that starts again beyond a number of pieces or of their bytes."""
 
-    def clear(self) -> None:
-        super().clear()
-        self.held = 0
-
-    def _learn(self) -> None:
-        self.held += sum(map(len, self.places.new))
-        super()._learn()
-
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         if len(self.places) > MOST_PIECES or self.held > MOST_BYTES:
             self.clear()
@@ -123,7 +115,7 @@ def byte_level(path: str) -> Side:
     tokens = [b""] * (max(vocabulary.values()) + 1)
     for token, k in vocabulary.items():
         tokens[k] = bytes(map(signs.__getitem__, token)) if all(c in signs for c in token) else token.encode()
-    return Side(_Bounded(library_lexicon(path, spaced_pieces).encode_pieces, spaced_pieces), tokens)
+    return Side(_Bounded(library_lexicon(path, spaced_pieces, marks=False).encode_pieces, spaced_pieces), tokens)
 
 
 def sentence_pieces(path: str) -> Side:

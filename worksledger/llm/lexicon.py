@@ -1,8 +1,8 @@
 """Encode texts through the distinct pieces that they consist of.
 
 Pieces are cut at blanks, where no token can cross; each distinct piece is encoded once
-and looked up afterwards. The table of a Python worker is bounded: beyond LIMIT pieces it
-starts again.
+and looked up afterwards. The table of a Python worker is bounded: beyond LIMIT pieces, or
+LIMIT_CHARS characters in them (texts without blanks are long pieces), it starts again.
 """
 
 from __future__ import annotations
@@ -18,6 +18,8 @@ from worksledger.llm.common import ragged
 
 #: Pieces that one worker remembers, about.
 LIMIT = 1_200_000
+#: Characters of the pieces that one worker remembers, about.
+LIMIT_CHARS = 16_000_000
 
 #: White space beyond ASCII (and the ASCII separators that only some libraries count as such).
 RARE_SPACE = re.compile(r"[\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
@@ -62,11 +64,12 @@ class Lexicon:
         self.clear()
 
     def clear(self) -> None:
-        self.places = _Places()
+        self.places, self.held = _Places(), 0
         self.ids, self.starts, self.counts = np.zeros(0, np.int32), np.zeros(0, np.int64), np.zeros(0, np.int64)
 
     def _learn(self) -> None:
         if self.places.new:
+            self.held += sum(map(len, self.places.new))
             ids, counts = self.encode_pieces(self.places.new)
             self.starts = np.concatenate([self.starts, len(self.ids) + np.cumsum(counts) - counts])
             self.counts = np.concatenate([self.counts, counts])
@@ -75,7 +78,7 @@ class Lexicon:
 
     def encode(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
         """(all ids, number of ids per text); a null text has none."""
-        if len(self.places) > LIMIT:
+        if len(self.places) > LIMIT or self.held > LIMIT_CHARS:
             self.clear()
         split = [self.split(t) if t else [] for t in texts]
         total = sum(map(len, split))
@@ -88,32 +91,60 @@ class Lexicon:
         return ids, np.diff(ends[bounds])
 
 
-_KNOWN: dict[tuple[str, str], Lexicon] = {}
+def between_marks(split: Callable[[str], list[str]], marks: list[str]) -> Callable[[str], list[str]]:
+    """split, on what stands between marks; each mark is a piece of its own."""
+    if not marks:
+        return split
+    # of two that begin together the library takes the longer
+    cut = re.compile("(" + "|".join(map(re.escape, sorted(marks, key=len, reverse=True))) + ")")
 
+    def pieces(text: str) -> list[str]:
+        if not any(mark in text for mark in marks):
+            return split(text)
+        parts = cut.split(text)
+        return list(chain.from_iterable([x] if k % 2 else split(x) for k, x in enumerate(parts) if x))
 
-def library_lexicon(path: str, split: Callable[[str], list[str]]) -> Lexicon:
-    """Of a vocabulary file of the tokenizers library; one for each worker and file."""
-    key = (path, split.__name__)
+    return pieces
+
+
+_KNOWN: dict[tuple[str, str, bool], Lexicon] = {}
+
+
+def library_lexicon(path: str, split: Callable[[str], list[str]], marks: bool = True) -> Lexicon:
+    """Of a vocabulary file of the tokenizers library; one for each worker and file.
+
+    marks: names of added tokens in a text are these tokens, as the library has it unless
+    told otherwise; else they are ordinary text.
+    """
+    key = (path, split.__name__, marks)
     if key not in _KNOWN:
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
-        joined, plain = Tokenizer.from_file(path), Tokenizer.from_file(path)
-        plain.encode_special_tokens = True  # names of special tokens are ordinary text
+        joined, single = Tokenizer.from_file(path), Tokenizer.from_file(path)
+        single.encode_special_tokens = not marks
+        added = list(joined.get_added_tokens_decoder().values())
+        if any(t.normalized or t.single_word or t.lstrip or t.rstrip for t in added):
+            raise ValueError(f"{path} has added tokens that depend on what stands beside them")
+        names = [t.content for t in added]
         mark = "<|endoftext|>"
         mark_id = joined.token_to_id(mark)
 
+        def apart(piece: str) -> bool:
+            return mark_id is None or "<|" in piece or any(name in piece for name in names)
+
         def encode(pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
             """Many pieces in one call, with a special token between them."""
-            safe = [x for x in pieces if "<|" not in x] if mark_id is not None else []
+            is_safe = np.array([not apart(x) for x in pieces], bool)
+            safe = [x for x, s in zip(pieces, is_safe) if s]
             runs = [mark.join(safe[k : k + 1000]) + mark for k in range(0, len(safe), 1000)]
             parts = [np.asarray(x.ids, np.int32) for x in joined.encode_batch_fast(runs, add_special_tokens=False)]
             flat = np.concatenate(parts) if parts else np.zeros(0, np.int32)
             ends = np.flatnonzero(flat == mark_id) if parts else np.zeros(0, np.int64)
             counts, ids = np.diff(ends, prepend=-1) - 1, flat[flat != mark_id]
             if len(safe) < len(pieces):
-                is_safe = np.array(["<|" not in x and mark_id is not None for x in pieces])
-                rest = [np.asarray(x.ids, np.int32) for x in plain.encode_batch([x for x, s in zip(pieces, is_safe) if not s], add_special_tokens=False)]
+                alone = [x for x, s in zip(pieces, is_safe) if not s]
+                rest = [np.asarray(x.ids, np.int32) for x in single.encode_batch_fast(alone, add_special_tokens=False)]
                 every = np.zeros(len(pieces), np.int64)
                 every[is_safe], every[~is_safe] = counts, [len(x) for x in rest]
                 which = np.repeat(is_safe, every)
@@ -122,5 +153,5 @@ def library_lexicon(path: str, split: Callable[[str], list[str]]) -> Lexicon:
                 ids, counts = both, every
             return ids, counts
 
-        _KNOWN[key] = Lexicon(encode, split)
+        _KNOWN[key] = Lexicon(encode, between_marks(split, names) if marks else split)
     return _KNOWN[key]

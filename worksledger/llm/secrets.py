@@ -88,6 +88,7 @@ def literals(text: str) -> list[tuple[int, int, str, float]]:
     if "=" not in text and ":" not in text:
         return []
     held: dict[str, int] = {}
+    chained: list[str] = []  # names that wait for the next literal
     found: list[list] = []
     at = 0
     while m := PAIR.search(text, at):
@@ -100,17 +101,20 @@ def literals(text: str) -> list[tuple[int, int, str, float]]:
             source = value.removeprefix("$").strip("{}")
             if source in held:
                 held[name] = held[source]
-                entry = found[held[source]]
-                entry[4] = max(entry[4], name_score(name))
+                if held[source] == len(found):  # itself still without a literal
+                    chained.append(name)
+                else:
+                    entry = found[held[source]]
+                    entry[4] = max(entry[4], name_score(name))
                 continue
             if _IDENTIFIER.match(value) and PAIR.match(text, m.start("bare")):
                 at = m.start("bare")  # a chain: a = b = "literal"
-                mine, after = len(found), PAIR.match(text, at)
-                held[name] = mine
-                if after["quoted"] is None:
-                    continue
+                held[name] = len(found)
+                chained.append(name)
+                continue
         held[name] = len(found)
-        found.append([start, end, name, value, max([name_score(name), *(name_score(n) for n, k in held.items() if k == len(found))])])
+        names, chained = [n for n in chained if held[n] == len(found)], []
+        found.append([start, end, name, value, max(map(name_score, [name, *names]))])
     return [
         (start, end, name, round(score + shape, 3))
         for start, end, name, value, score in found
