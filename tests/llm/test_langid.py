@@ -63,12 +63,17 @@ def test_awkward_rows(spark, monkeypatch):
     assert langid.identify(cases.empty(spark), net, score_to="p").count() == 0
 
 
-def test_the_sample_is_bounded(spark, monkeypatch):
+def test_the_sample_is_bounded_in_each_language(spark, monkeypatch):
     seen = {}
     monkeypatch.setattr(langid, "DOCUMENTS", 4)
-    monkeypatch.setattr(langid, "train", lambda segments, labels, languages: seen.update(n=len(segments)))
-    langid.fit(cases.frame(spark), "text", "lang", F.xxhash64("doc_id"))
-    assert seen["n"] == 4 * langid.SEGMENTS
+    monkeypatch.setattr(langid, "train", lambda segments, labels, languages: seen.update(n=np.bincount(labels).tolist(), of=languages))
+    rows = [(k, cases.prose(k, 20), "en") for k in range(300)] + [(1000 + k, cases.prose(k, 20), "ru") for k in range(3)] + [(2000, "x y z", "xx")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(5)
+    langid.fit(df, "text", "lang", F.xxhash64("doc_id"))
+    assert seen["of"] == ["en", "ru", "xx"] and seen["n"] == [4 * langid.SEGMENTS, 3 * langid.SEGMENTS, langid.SEGMENTS]
+    once = dict(seen)  # the same however the rows lie
+    langid.fit(df.repartition(1).orderBy(F.desc("doc_id")), "text", "lang", F.xxhash64("doc_id"))
+    assert seen == once
 
 
 def test_a_column_tells_what_the_operator_does(spark):

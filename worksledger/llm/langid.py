@@ -5,8 +5,9 @@ computes several times faster. A text's UTF-8 bytes are cut into segments of LEN
 one network reads each forwards, one backwards, and from both states every position gets
 a probability for every language. A document's probabilities are the mean over all its
 positions that hold a letter. Training is backpropagation through time with Adam, on a
-bounded sample: DOCUMENTS documents, the first in a given order, and SEGMENTS segments of
-each, spread over the whole text; languages weigh alike in it. Prediction reads all bytes of all texts.
+bounded sample: up to DOCUMENTS documents of each language, the first in a given order, and
+SEGMENTS segments of each, spread over the whole text; so that no language is lost, however
+rare, and languages weigh alike. Prediction reads all bytes of all texts.
 
 A null text, and one without a letter, is `und` with score 0. Texts without training
 rows (an empty table, no labels) are all `und`. Repeated rows are predicted row by row;
@@ -20,14 +21,16 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from worksledger.llm.common import give_back, joined_bytes, map_texts, pieces
 
 LENGTH = 64
 HIDDEN = 8
-DOCUMENTS = 1600
+DOCUMENTS = 400
+#: Groups in which the tasks' rows of a language are merged first.
+GROUPS = 16
 SEGMENTS = 8
 ROUNDS = 300
 BATCH = 256
@@ -170,13 +173,17 @@ def train(segments: np.ndarray, labels: np.ndarray, languages: list[str], rounds
 
 
 def fit(labelled: DataFrame, text_col: str, lang_col: str, order: Column) -> Network | None:
-    """Train on a bounded sample of labelled; None if there is nothing to learn from."""
+    """Train on DOCUMENTS rows of each language in labelled; None if there is nothing to learn from."""
     text = F.col(text_col)
     last = F.greatest(F.length(text) - LENGTH, F.lit(0))
     spread = F.array(*(F.substring(text, F.lit(1) + F.floor(last * (k / (SEGMENTS - 1))).cast("int"), F.lit(LENGTH)) for k in range(SEGMENTS)))
     usable = labelled.where(F.col(lang_col).isNotNull() & (F.length(text) > 0))
     drawn = usable.select(F.col(lang_col).alias("lang"), spread.alias("segments"), order.alias("order"))
-    rows = [(r.lang, x) for r in drawn.orderBy("order", "segments", "lang").limit(DOCUMENTS).collect() for x in r.segments]
+    drawn = drawn.withColumn("group", F.pmod(F.spark_partition_id(), F.lit(GROUPS)))
+    for by in (["lang", "group"], ["lang"]):  # limits on the map side: a task hands on no more of a language
+        first = F.row_number().over(Window.partitionBy(*by).orderBy("order", "segments"))
+        drawn = drawn.withColumn("rank", first).where(F.col("rank") <= DOCUMENTS)
+    rows = [(r.lang, x) for r in sorted(drawn.select("lang", "rank", "segments").collect(), key=lambda r: (r.lang, r.rank)) for x in r.segments]
     if not rows:
         return None
     languages = sorted({lang for lang, _ in rows})
