@@ -52,10 +52,9 @@ def test_bounds_leave_candidates_out():
     x = np.concatenate([r.normal(size=(2000, 16)) * 5 + 100 * c for c in r.normal(size=(10, 16))]).round()
     ids = np.arange(len(x))
     chosen = pivots.farthest_first(x[::7], 48)
-    table = pivots.distances(x, chosen)
     norms = (x**2).sum(axis=1)
     best = int(norms.argmax())
-    (_, near, scores, seen), = pivots.search(x[best : best + 1], ids[best : best + 1], x, ids, table, chosen, 5)
+    (_, near, scores, seen), = pivots.search(x[best : best + 1], ids[best : best + 1], x, ids, chosen, 5)
     order = np.lexsort((ids, -(x @ x[best])))
     assert near.tolist() == [i for i in order if i != best][:5]
     assert seen < len(x) / 2
@@ -99,3 +98,24 @@ def test_each_query_row_is_ranked_by_itself(spark):
     rows = [(k % 60, [float(x) for x in r.normal(size=4)]) for k in range(150)]  # ids with two or three rows
     rows += [rows[0], rows[0], rows[21]]  # equal rows
     check_rows(spark, rows, 10)
+
+
+@pytest.mark.parametrize("size", [1, 30, 3000, 2_000_000])
+def test_bounds_hold_and_beat_single_pivots(size):
+    r = np.random.default_rng(6)
+    x, q = ((r.normal(size=(n, 12)) * size + r.normal(size=12) * size * 9).round() for n in (300, 40))
+    chosen = pivots.farthest_first(x[::3], 7)
+    upper = pivots.Bounds(chosen, q, x).upper(slice(0, 40))
+    assert (upper >= q @ x.T).all()
+    gap = np.abs(pivots.distances(q, chosen)[:, None] - pivots.distances(x, chosen)).max(axis=2)
+    single = ((q**2).sum(axis=1)[:, None] + (x**2).sum(axis=1) - gap**2) / 2
+    slack = 3e-6 * ((q**2).sum(axis=1)[:, None] + (x**2).sum(axis=1) + (chosen[0] ** 2).sum() + 1)
+    assert (upper <= single + slack).all()
+
+
+def test_pivots_that_coincide():
+    x = np.array([[3.0, 4.0]] * 5 + [[6.0, 8.0]] * 3 + [[0.0, 0.0]])
+    upper = pivots.Bounds(x, x, x).upper(slice(0, 9))
+    assert (upper >= x @ x.T).all()
+    assert (pivots.Bounds(x[:1], x, x).upper(slice(0, 9)) >= x @ x.T).all()
+    assert (pivots.Bounds(np.zeros((1, 0)), np.zeros((2, 0)), np.zeros((3, 0))).upper(slice(0, 2)) >= 0).all()

@@ -1,12 +1,16 @@
 """Exact top-k by inner product, with a table of distances to pivots.
 
 Vectors are blocked. For each block the distances of its vectors to the pivots are
-computed once; for a query q with distances to the same pivots, the triangle inequality
-gives |d(q,p) - d(x,p)| <= d(q,x) for every pivot p, and the greatest of these bounds the
-inner product from above, as <q,x> = (|q|^2 + |x|^2 - d(q,x)^2) / 2. Candidates are
-evaluated in the order of their bounds, a slice at a time, until the next bound lies below
-the k-th score: then no candidate left can enter, nor tie. Pivots are drawn by farthest-first
-from a bounded sample (SAMPLE vectors); they change the work, never the result.
+computed once. Distances to pivots fix where a vector lies in the space that the pivots
+span, and how far from it; so two vectors are at least as far apart as the distance within
+that space and the difference of their distances from it make, which is the greatest lower
+bound that these distances allow, and at least |d(q,p) - d(x,p)| for every pivot p. It
+bounds the inner product from above, as <q,x> = (|q|^2 + |x|^2 - d(q,x)^2) / 2, and is one
+matrix product for a block. Every query begins with the k-th score that it reaches in the
+sample; candidates of greater bounds are evaluated in the order of their bounds, a slice at
+a time, until the next bound lies below the k-th score: then no candidate left can enter,
+nor tie. Pivots are drawn by farthest-first from a bounded sample (SAMPLE vectors); sample
+and pivots change the work, never the result.
 
 Query blocks meet every candidate block, which is what an exact search over a stated query
 set has to do; each pair of blocks sends on k rows per query at most, and these are merged
@@ -42,9 +46,14 @@ from worksledger.llm.common import landed
 SAMPLE = 4096
 PIVOTS = 48
 #: Vectors of a block of candidates and of queries.
-BLOCK = 4096
-QUERY_BLOCK = 512
+BLOCK = 8192
+QUERY_BLOCK = 2048
+#: Candidates of the first slice; each next one is twice as large.
 SLICE = 256
+#: Queries whose bounds are computed together.
+TOGETHER = 128
+#: Directions of the pivots in which they spread less than this share of the largest distance are left out.
+SPREAD = 1e-3
 #: Candidate blocks of one query block are dealt over so many keys.
 SALTS = 64
 #: Components from here on make a vector wide, or fewer where a sum of products could leave 62 bits.
@@ -120,39 +129,81 @@ def distances(x: np.ndarray, pivots: np.ndarray) -> np.ndarray:
     return np.sqrt(np.maximum(squares, 0))
 
 
+def products(queries: np.ndarray, x: np.ndarray) -> np.ndarray:
+    """Inner products of whole numbers, exactly: in floating point where no sum can leave 53 bits."""
+    if len(queries) and len(x):
+        most = float((queries.astype(np.float64) ** 2).sum(axis=1).max()) * float((x.astype(np.float64) ** 2).sum(axis=1).max())
+        if most < 2.0**104:
+            return (queries.astype(np.float64) @ x.astype(np.float64).T).astype(np.int64)
+    return queries.astype(np.int64) @ x.astype(np.int64).T
+
+
+class Bounds:
+    """Upper bounds of inner products, by the distances of both sides to the pivots."""
+
+    def __init__(self, pivots: np.ndarray, *sides: np.ndarray):
+        spread = pivots[1:] - pivots[0]
+        turn, size, _ = np.linalg.svd(spread, full_matrices=False) if len(spread) else (np.zeros((0, 0)), np.zeros(0), None)
+        tables = [distances(side, pivots) for side in sides]
+        kept = size > SPREAD * max((t.max(initial=0) for t in tables), default=0)
+        onto = turn[:, kept] / size[kept]
+        squares, origin = (spread**2).sum(axis=1), float((pivots[0] ** 2).sum())
+        self.sides = []
+        for side, table in zip(sides, tables):
+            first = table[:, 0] ** 2
+            within = ((squares + first[:, None] - table[:, 1:] ** 2) / 2) @ onto
+            off = np.sqrt(np.maximum(first - (within**2).sum(axis=1), 0))
+            norms = (side**2).sum(axis=1)
+            self.sides.append((np.column_stack([within, off]), (norms + origin - first) / 2, norms))
+        self.origin = origin
+
+    def upper(self, some: slice) -> np.ndarray:
+        """Rows `some` of the first side by all of the second."""
+        (q, q_first, q_norms), (x, x_first, x_norms) = self.sides
+        bounds = q[some] @ x.T
+        bounds += (q_first[some] - self.origin)[:, None] + x_first
+        # rounding must not cut a candidate off
+        bounds += 1e-6 * (q_norms[some][:, None] + x_norms + self.origin + 1.0)
+        return bounds
+
+
 def search(
-    queries: np.ndarray, query_ids: np.ndarray, x: np.ndarray, ids: np.ndarray, to_pivots: np.ndarray, pivots: np.ndarray, k: int,
-    query_rows: np.ndarray | None = None, rows: np.ndarray | None = None,
+    queries: np.ndarray, query_ids: np.ndarray, x: np.ndarray, ids: np.ndarray, pivots: np.ndarray, k: int,
+    query_rows: np.ndarray | None = None, rows: np.ndarray | None = None, floors: np.ndarray | None = None,
 ) -> Iterator[tuple[int, np.ndarray, np.ndarray, int]]:
     """For each query: its id, the ids and scores of its best k in this block, and how many were evaluated.
 
     The query's own row is told by the numbers of the rows, or by the ids if there are none.
+    Candidates below the query's floor, if there is one, are left out.
     """
     if rows is None:
         query_rows, rows = query_ids, ids
-    exact = x.astype(np.int64)
-    norms, mine = (x**2).sum(axis=1), distances(queries, pivots)
-    query_norms, whole = (queries**2).sum(axis=1), queries.astype(np.int64)
+    bounds = Bounds(pivots, queries, x)
+    short = float((queries**2).sum(axis=1).max(initial=0)) * float((x**2).sum(axis=1).max(initial=0)) < 2.0**104
+    exact, whole = (x, queries) if short else (x.astype(np.int64), queries.astype(np.int64))
     for j in range(len(queries)):
-        lower = np.abs(to_pivots - mine[j]).max(axis=1)
-        # rounding of the distances must not cut a candidate off
-        slack = 1e-6 * (norms + query_norms[j] + 1.0)
-        upper = (query_norms[j] + norms - lower**2) / 2 + slack
-        upper[rows == query_rows[j]] = -np.inf
-        order = np.argsort(-upper, kind="stable")
-        best_ids, best = np.zeros(0, np.int64), np.zeros(0, np.int64)
-        seen = 0
-        while seen < len(order) and upper[order[seen]] > -np.inf:
-            if len(best) == k and upper[order[seen]] < best[-1]:
-                break
-            some = order[seen : seen + SLICE]
-            some = some[upper[some] > -np.inf]
-            seen += SLICE
-            best = np.concatenate([best, exact[some] @ whole[j]])
-            best_ids = np.concatenate([best_ids, ids[some]])
+        if j % TOGETHER == 0:
+            block = bounds.upper(slice(j, j + TOGETHER))
+        upper = block[j % TOGETHER]
+        floor = -np.inf if floors is None else floors[j]
+        left = np.flatnonzero((upper >= floor) & (rows != query_rows[j]))
+        best_ids, best, seen, size = np.zeros(0, np.int64), np.zeros(0, np.int64), 0, SLICE
+        while len(left):
+            if len(left) > size:  # the next slice of greatest bounds
+                at = np.argpartition(-upper[left], size - 1)
+                some, left = left[at[:size]], left[at[size:]]
+            else:
+                some, left = left, left[:0]
+            seen += len(some)
+            scores = (exact[some] @ whole[j]).astype(np.int64)
+            high = scores >= (best[-1] if len(best) == k else floor)
+            best, best_ids = np.concatenate([best, scores[high]]), np.concatenate([best_ids, ids[some[high]]])
             first = np.lexsort((best_ids, -best))[:k]
             best, best_ids = best[first], best_ids[first]
-        yield int(query_ids[j]), best_ids, best, min(seen, len(order))
+            if len(best) == k:
+                left = left[upper[left] >= best[-1]]
+            size *= 2
+        yield int(query_ids[j]), best_ids, best, seen
 
 
 def search_wide(
@@ -184,14 +235,37 @@ def top_k(
     """
     vectors = landed(quantised(df, scale, id_col, vector_col), "vectors")
     # of wide vectors, none is a pivot
-    sample = vectors.where(~F.col("wide")).select("id", "v").orderBy(F.xxhash64("id"), "id").limit(SAMPLE).toPandas()
+    sample = vectors.where(~F.col("wide")).select("id", "row", "v").orderBy(F.xxhash64("id"), "id", "row").limit(SAMPLE).toPandas()
     by_dim: dict[int, list] = {}
-    for v in sample["v"]:
-        by_dim.setdefault(len(v), []).append(v)
-    pivots = {dim: farthest_first(np.floor(scale * np.array([*vs], np.float64)).reshape(len(vs), dim), PIVOTS) for dim, vs in by_dim.items()}
+    for v, row in zip(sample["v"], sample["row"]):
+        by_dim.setdefault(len(v), []).append((v, row))
+    samples = {
+        dim: (np.floor(scale * np.array([v for v, _ in of], np.float64)).reshape(len(of), dim), np.array([row for _, row in of], np.int64))
+        for dim, of in by_dim.items()
+    }
+    pivots = {dim: farthest_first(x, PIVOTS) for dim, (x, _) in samples.items()}
+    shared = df.sparkSession.sparkContext.broadcast(samples)  # SAMPLE vectors at most
     candidates = _blocks(vectors, BLOCK, scale)
     asked = vectors.where(is_query)
-    query_blocks = landed(_blocks(asked, QUERY_BLOCK, scale).withColumn("block", F.monotonically_increasing_id()), "queries")
+
+    def seeded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            floors = []
+            for r in batch.to_pylist():
+                x, rows = shared.value.get(r["dim"], (np.zeros((0, r["dim"])), np.zeros(0, np.int64)))
+                out = np.full(r["n"], -np.inf)
+                if not r["wide"] and len(x) > k:
+                    q, own = np.frombuffer(r["numbers"], "<i4").reshape(r["n"], r["dim"]), np.frombuffer(r["rows"], "<i8")
+                    for j in range(0, len(q), TOGETHER):
+                        scores = products(q[j : j + TOGETHER], x)
+                        scores[own[j : j + TOGETHER, None] == rows] = np.iinfo(np.int64).min
+                        out[j : j + TOGETHER] = np.partition(scores, -k, axis=1)[:, -k]
+                floors.append(out.tobytes())
+            yield batch.append_column("floors", pa.array(floors, pa.binary()))
+
+    made = _blocks(asked, QUERY_BLOCK, scale)
+    seeds = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in made.schema) + ", floors binary"
+    query_blocks = landed(made.mapInArrow(seeded, seeds).withColumn("block", F.monotonically_increasing_id()), "queries")
     # a number for each query block; every candidate block is sent to every query block of its length
     numbers: dict[int, list[int]] = {}
     for r in query_blocks.select("dim", "block").orderBy("block").collect():
@@ -224,7 +298,7 @@ def top_k(
                     near = [np.array(f[0], np.int64) for f in found]
                 else:
                     x, some = x.astype(np.float64), pivots.get(dim, np.zeros((1, dim)))
-                    found = list(search(q.astype(np.float64), q_ids, x, ids, distances(x, some), some, k, q_rows, rows))
+                    found = list(search(q.astype(np.float64), q_ids, x, ids, some, k, q_rows, rows, np.frombuffer(get("floors", r), "<f8")))
                     near = [f[1] for f in found]
                     score = pa.array(np.concatenate([f[2] for f in found]), pa.int64())
                     size, digits = pa.array(np.zeros(len(score), np.int32)), pa.nulls(len(score), pa.string())
