@@ -77,7 +77,8 @@ def _export_csv(g: Given) -> DataFrame:
     path = scratch_path(g.spark, "csv")
     rows = g.clean.select("global_id", *C.EXPLORER_COLUMNS)
     export_csv(rows, path)
-    return g.spark.read.csv(path, header=True, escape='"', schema=rows.schema)
+    back = g.spark.read.csv(path, escape='"', schema=rows.schema)
+    return back.where(~F.col("global_id").eqNullSafe("global_id"))  # the one header of all parts
 
 
 def _published(g: Given) -> dict[str, DataFrame]:

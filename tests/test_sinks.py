@@ -4,15 +4,20 @@ import csv
 import json
 from pathlib import Path
 
+import pytest
+
 from tests.conftest import column
 from worksledger import constants as C
 from worksledger.sinks import (
     create_table,
+    current_table,
     dataset_sizes,
+    drop_versions,
     export_csv,
     export_parquet,
     manifest,
     materialise,
+    replace_table,
     write_manifest,
 )
 from worksledger.sources import describe_schema, register_views
@@ -62,6 +67,48 @@ def test_top_k_export_is_one_part(spark, tmp_path):
     assert csv_text(path).splitlines() == ["id", *map(str, range(100))]
 
 
+def test_many_parts_are_one_csv_with_one_header(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr("worksledger.sinks.csv.ONE_PART_ROWS", 10)
+    path = str(tmp_path / "all")
+    # the first partitions of the data are empty
+    df = spark.range(0, 5000, 1, 9).where("id >= 2000").selectExpr("id", "concat('x,', id) AS `a,b`")
+    assert export_csv(df, path)
+    assert len(list(Path(path).glob("part-*"))) > 3
+    want = ["id,\"a,b\"", *(f'{k},"x,{k}"' for k in range(2000, 5000))]
+    assert csv_text(path) == "".join(f"{x}\n" for x in want)
+
+
+def test_csv_computes_its_rows_once_and_keeps_the_old_file(spark, tmp_path):
+    path, seen = str(tmp_path / "once"), spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    df = spark.range(0, 100, 1, 4).mapInArrow(count, "id long")
+    assert export_csv(df, path) and seen.value == 100
+    before = csv_text(path)
+    assert not export_csv(df.where("id < 0"), path) and csv_text(path) == before
+    assert export_csv(spark.range(1), path) and csv_text(path) == "id\n0\n"
+    assert [p.name for p in tmp_path.iterdir()] == ["once"]
+
+
+def test_a_table_is_replaced_as_a_whole(spark, tmp_path):
+    base = str(tmp_path / "t")
+    assert replace_table(spark.range(10), base).rows == 10
+    dying = spark.range(0, 100, 1, 5).selectExpr("if(id > 90, raise_error('lost'), id) AS id")
+    with pytest.raises(Exception, match="lost"):
+        replace_table(dying, base)
+    assert current_table(spark, base).count() == 10
+    old = current_table(spark, base)
+    # computed from itself, and the old version can still be read
+    assert replace_table(old.union(old), base, ["id"]).rows == 20
+    assert (current_table(spark, base).count(), old.count()) == (20, 10)
+    assert drop_versions(spark, base) == 1 and current_table(spark, base).count() == 20
+    assert drop_versions(spark, base) == 0
+
+
 def test_materialise_counts_and_replaces(spark, tmp_path):
     path = str(tmp_path / "t")
     assert materialise(spark.range(10), path).rows == 10

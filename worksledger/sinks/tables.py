@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from typing import NamedTuple
 
-from pyspark.sql import DataFrame, DataFrameWriter, Observation
+from pyspark.sql import DataFrame, DataFrameWriter, Observation, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -30,6 +31,46 @@ def materialise(df: DataFrame, path: str, cluster_by: Sequence[str] = ()) -> Lan
     return Landed(df.sparkSession.read.schema(df.schema).parquet(path), written.get["rows"])
 
 
+def replace_table(df: DataFrame, base: str, cluster_by: Sequence[str] = ()) -> Landed:
+    """Write a new version of the table at ``base`` and make it the current one.
+
+    Every version has a folder of its own, and a line appended to ``base/current`` names
+    the one that counts: readers see the old table or the new one, and a job that dies
+    while it writes changes nothing. A table may be replaced by a result computed from
+    itself. Of two writers at a time the one that ends last wins. Older versions stay
+    until ``drop_versions``, as readers may still be at them.
+    """
+    folder = f"{base.rstrip('/')}/versions/{uuid.uuid4().hex}"
+    landed = materialise(df, folder, cluster_by)
+    line = df.sparkSession.range(0, 1, 1, 1).select(F.lit(folder).alias("folder"), F.current_timestamp().alias("at"))
+    line.write.mode("append").parquet(f"{base.rstrip('/')}/current")
+    return landed
+
+
+def current_folder(spark: SparkSession, base: str) -> str:
+    """Where the current version of a table written by ``replace_table`` lies."""
+    lines = spark.read.schema("folder string, at timestamp").parquet(f"{base.rstrip('/')}/current")
+    return lines.agg(F.max_by("folder", F.struct("at", "folder"))).first()[0]
+
+
+def current_table(spark: SparkSession, base: str) -> DataFrame:
+    return spark.read.parquet(current_folder(spark, base))
+
+
+def drop_versions(spark: SparkSession, base: str) -> int:
+    """Remove all versions that were current before; returns their number.
+
+    Folders that no line names belong to writers at work, or to jobs that died; they stay.
+    """
+    now = current_folder(spark, base)
+    lines = spark.read.schema("folder string, at timestamp").parquet(f"{base.rstrip('/')}/current")
+    removed = 0
+    for row in lines.select("folder").where(F.col("folder") != now).toLocalIterator():  # a line per version
+        place = spark._jvm.org.apache.hadoop.fs.Path(row.folder)
+        removed += place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+    return removed
+
+
 def create_table(df: DataFrame, name: str, cluster_by: Sequence[str] = ()) -> Landed:
     """The same for a table of the session's catalog."""
     writer, written = _writer(df, cluster_by)
