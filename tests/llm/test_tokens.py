@@ -12,7 +12,7 @@ from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
 from tests.llm import cases
-from worksledger.llm import bpe, lexicon, packing, tokenfile
+from worksledger.llm import bpe, common, lexicon, packing, tokenfile
 from worksledger.session import scratch_path
 
 BYTES = public_tokenizers.path("byte_bpe_50k.json")
@@ -75,6 +75,14 @@ def test_long_pieces_are_bounded_by_their_size(monkeypatch, sign):
         assert lex.held <= 3000 + len(text)
 
 
+def test_a_table_emptied_by_another_stage_is_built_again():
+    first = lexicon.library_lexicon(BYTES, lexicon.spaced_pieces)
+    common.forget()
+    again = lexicon.library_lexicon(BYTES, lexicon.spaced_pieces)
+    assert again is not first
+    assert again.encode(["one two"])[0].tolist() == first.encode(["one two"])[0].tolist()
+
+
 def test_matrices_encode_as_the_library(plain):
     r = random.Random(5)
     long = ["a" * 3000, "ab" * 800, "".join(r.choice("etaoinshrdlu") for _ in range(3000)), " " * 700, "\n" * 90 + "x"]

@@ -51,6 +51,16 @@ def pieces(batch: pa.RecordBatch, column: int, size: int = PIECE_BYTES) -> Itera
         start = end
 
 
+#: Tables that a worker keeps from task to task; each can be emptied at any time.
+TABLES: list[dict] = []
+
+
+def forget() -> None:
+    """Empty the tables that earlier stages left in this worker, for a stage that needs none of them."""
+    for held in TABLES:
+        held.clear()
+
+
 def give_back() -> None:
     """Return freed memory to the system: workers live on, and the next stage needs it."""
     pa.default_memory_pool().release_unused()

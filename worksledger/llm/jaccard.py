@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from worksledger.llm.common import GOLDEN, U64, give_back, joined_bytes, landed, map_texts, mix64, pieces, ragged
+from worksledger.llm.common import GOLDEN, U64, forget, give_back, joined_bytes, landed, map_texts, mix64, pieces, ragged
 
 SKETCH = 20
 #: Bytes of text whose words are hashed together; some fifty times as much is held meanwhile.
@@ -125,6 +125,7 @@ def count_table(docs: DataFrame, words: int) -> np.ndarray:
     size = 1 << SKETCH
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget()
         total = np.zeros(size, np.int64)
         for batch in batches:
             for piece in pieces(batch, 1, SLICE):

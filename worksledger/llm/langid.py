@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from worksledger.llm.common import give_back, joined_bytes, map_texts, pieces
+from worksledger.llm.common import forget, give_back, joined_bytes, map_texts, pieces
 
 LENGTH = 64
 HIDDEN = 8
@@ -247,6 +247,7 @@ def recognised(text: Column, net: Network | None, least_score: float = 0.0) -> C
 
     @F.arrow_udf("string")
     def told(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        forget()
         for texts in batches:
             out: list[str | None] = []
             for piece in pieces(pa.RecordBatch.from_arrays([texts], names=["text"]), 0):

@@ -14,7 +14,7 @@ from itertools import chain
 
 import numpy as np
 
-from worksledger.llm.common import ragged
+from worksledger.llm.common import TABLES, ragged
 
 #: Pieces that one worker remembers, about.
 LIMIT = 1_200_000
@@ -108,6 +108,7 @@ def between_marks(split: Callable[[str], list[str]], marks: list[str]) -> Callab
 
 
 _KNOWN: dict[tuple[str, str, bool], Lexicon] = {}
+TABLES.append(_KNOWN)
 
 
 def library_lexicon(path: str, split: Callable[[str], list[str]], marks: bool = True) -> Lexicon:
@@ -121,8 +122,10 @@ def library_lexicon(path: str, split: Callable[[str], list[str]], marks: bool =
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
-        joined, single = Tokenizer.from_file(path), Tokenizer.from_file(path)
-        single.encode_special_tokens = not marks
+        joined = single = Tokenizer.from_file(path)
+        if not marks:
+            single = Tokenizer.from_file(path)
+            single.encode_special_tokens = True
         added = list(joined.get_added_tokens_decoder().values())
         if any(t.normalized or t.single_word or t.lstrip or t.rstrip for t in added):
             raise ValueError(f"{path} has added tokens that depend on what stands beside them")
