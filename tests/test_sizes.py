@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import json
+from pathlib import Path
+
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -66,3 +70,20 @@ def test_a_large_table_is_not_dealt_out_again(spark, tmp_path):
         spark.conf.set(cost, before)
 
 
+def test_features_are_compressed(given):
+    assert all(f.suffix == ".gz" for f in Path(given.features).glob("part-*"))
+
+
+def test_collections_are_written_without_a_shuffle(given):
+    texts = [f.read_text() for f in Path(given.collections).glob("part-*")]
+    found = [json.loads(t)["features"] for t in texts]
+    assert sum(map(len, found)) == given.lazy_raw.count() and len(found) > 1
+
+
+def test_a_collection_of_many_batches_or_none():
+    def written(*batches):
+        out = tables._as_collection(pa.RecordBatch.from_pydict({"value": pa.array(b, pa.string())}) for b in batches)
+        return json.loads("".join(v + "}" for b in out for v in b.column(0).to_pylist()))["features"]
+
+    assert written(['{"a":1}', '{"a":"ñ"}'], [], ['{"a":3}']) == [{"a": 1}, {"a": "ñ"}, {"a": 3}]
+    assert written() == written([]) == []
