@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from parity import tables
 from tests.conftest import SMALL, plan_text
+from worksledger.operators import ordering, ranks
 from worksledger.operators.cleaning import CleaningRules, clean_projects, default_tie_breakers
 from worksledger.plans.jobs import transform
 from worksledger.session import SORTED_BYTES, conf_bytes, sized_for
@@ -70,6 +71,26 @@ def test_a_large_table_is_not_dealt_out_again(spark, tmp_path):
         spark.conf.set(cost, before)
 
 
+def test_paging_sorts_keys_and_places_only(given, spark):
+    clean = given.clean
+    order = ordering.sort_order(clean, "project_description", "asc", ["global_id"])
+    narrow, by = ranks.keyed(ranks.located(clean), [*order, *ordering._whole_row(clean)], ranks.PLACE)
+    assert len(narrow.columns) == len(ranks.PLACE) + 4  # text, id, two hashes; each once
+    shuffled = plan_text(narrow.orderBy(*by)).split("Exchange rangepartitioning", 1)
+    assert "contractor" in shuffled[1] and "contractor" not in shuffled[0]
+    got = [r["_in_file"] + str(r["_at_row"]) for r in narrow.orderBy(*by).collect()]
+    want = ranks.located(clean).orderBy(*order).select(*ranks.PLACE).collect()
+    assert got == [r["_in_file"] + str(r["_at_row"]) for r in want]
+
+
+@pytest.mark.parametrize("how", ["asc_nulls_first", "asc_nulls_last", "desc_nulls_first", "desc_nulls_last", "asc", "desc"])
+def test_keys_keep_their_direction(spark, how):
+    df = spark.createDataFrame([(1, 3), (2, None), (3, 1), (4, 2)], "id int, x int")
+    order = [getattr(F.col("x"), how)(), F.col("id")]
+    narrow, by = ranks.keyed(df, order, ["id"])
+    assert [r.id for r in narrow.orderBy(*by).collect()] == [r.id for r in df.orderBy(*order).collect()]
+
+
 def test_features_are_compressed(given):
     assert all(f.suffix == ".gz" for f in Path(given.features).glob("part-*"))
 

@@ -20,7 +20,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
-from worksledger.session import remove, scratch_path
+from worksledger.session import remove, scratch_path, sized_for, stored_bytes
 
 PLACE = ["_in_file", "_at_row"]
 _RANK = "_rank"
@@ -46,6 +46,37 @@ def located(df: DataFrame) -> DataFrame | None:
         return None
 
 
+def keyed(df: DataFrame, order: Sequence[Column], kept: Sequence[str]) -> tuple[DataFrame, list[Column]]:
+    """Columns `kept` and the sort keys as columns of their own, and the order by those.
+
+    Spark evaluates the expressions of an order above the shuffle, which then moves every
+    column that they name, and in rows that a task sorts; here only the values are, each once.
+    """
+    column = df.sparkSession._jvm.org.apache.spark.sql.Column
+    found, keys, by = [], [], []
+    for part in order:
+        node, how = part._jc.node(), ("Ascending", "NullsFirst")
+        key = part._jc
+        if node.getClass().getSimpleName() == "SortOrder":
+            key = column(node.child())
+            how = node.sortDirection().toString(), node.nullOrdering().toString()
+        if any(key.equals(other) for other in found):
+            continue  # ordered by it already
+        name = f"_key{len(found)}"
+        found.append(key)
+        keys.append(type(part)(key).alias(name))
+        by.append(getattr(F.col(name), _ORDERS["Desc" in how[0], "Last" in how[1]])())
+    return df.select(*kept, *keys), by
+
+
+_ORDERS = {
+    (False, False): "asc_nulls_first",
+    (False, True): "asc_nulls_last",
+    (True, False): "desc_nulls_first",
+    (True, True): "desc_nulls_last",
+}
+
+
 def fetch(df: DataFrame, places: Sequence[Row]) -> DataFrame:
     """The rows at these places, in this order; only their files are opened."""
     if not places:
@@ -73,8 +104,10 @@ class RankIndex:
         path = scratch_path(spark, "ranks")
         placed = located(df)
         kept = PLACE if placed is not None else df.columns
-        ordered = (df if placed is None else placed).orderBy(*order)
-        ordered.select(*kept, F.monotonically_increasing_id().alias(_RANK)).write.parquet(path)
+        narrow, by = keyed(df if placed is None else placed, order, kept)
+        ranked = narrow.orderBy(*by).select(*kept, F.monotonically_increasing_id().alias(_RANK))
+        with sized_for(spark, stored_bytes(df), sorts=True):
+            ranked.write.parquet(path)
         part = F.shiftright(_RANK, _PARTITION_BITS).cast("int").alias("part")
         sizes = sorted(spark.read.parquet(path).groupBy(part).agg(F.count("*").alias("n")).collect())
         return cls(path, placed is not None, tuple(r.part for r in sizes), tuple(accumulate(r.n for r in sizes)))
