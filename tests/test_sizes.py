@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from parity import tables
 from tests.conftest import SMALL, plan_text
-from worksledger.operators import ordering, ranks
+from worksledger.operators import layout, ordering, ranks
 from worksledger.operators.cleaning import CleaningRules, clean_projects, default_tie_breakers
 from worksledger.plans.jobs import transform
 from worksledger.session import SORTED_BYTES, conf_bytes, sized_for
@@ -91,6 +91,16 @@ def test_keys_keep_their_direction(spark, how):
     assert [r.id for r in narrow.orderBy(*by).collect()] == [r.id for r in df.orderBy(*order).collect()]
 
 
+def test_clustered_files_follow_the_size(given, monkeypatch, tmp_path):
+    slots = given.spark.sparkContext.defaultParallelism
+    assert layout.files_by_size(given.clean) == slots
+    monkeypatch.setattr(layout, "SORTED_BYTES", 20_000)
+    files = layout.files_by_size(given.clean)
+    assert files > slots
+    layout.write_clustered(given.clean, str(tmp_path / "c"), files)
+    assert len(list((tmp_path / "c" / "data").glob("*.parquet"))) > slots
+
+
 def test_features_are_compressed(given):
     assert all(f.suffix == ".gz" for f in Path(given.features).glob("part-*"))
 

@@ -16,18 +16,26 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from worksledger.operators.filters import ProjectFilter, apply_filter
+from worksledger.session import SORTED_BYTES, sized_for, stored_bytes
 
 CLUSTER = ("region", "infra_year", "type_of_work")
 _DATA, _SPANS = "data", "spans"
 
 
+def files_by_size(df: DataFrame) -> int:
+    """Files of a clustered copy of df: one per task slot, and more where one task would sort too much."""
+    slots = df.sparkSession.sparkContext.defaultParallelism
+    return max(slots, -(-stored_bytes(df) // SORTED_BYTES))
+
+
 def write_clustered(
     df: DataFrame, path: str, files: int, by: Sequence[str] = CLUSTER, key: str = "global_id"
 ) -> None:
     """Write df below path in `files` ranges of `by`, and the span of each file."""
     order = [*by, F.xxhash64(key)]
     ranged = df.repartitionByRange(files, *order).sortWithinPartitions(*order)
-    ranged.write.mode("overwrite").parquet(f"{path}/{_DATA}")
+    with sized_for(df.sparkSession, stored_bytes(df), sorts=True):
+        ranged.write.mode("overwrite").parquet(f"{path}/{_DATA}")
     stored = df.sparkSession.read.schema(df.schema).parquet(f"{path}/{_DATA}")
     bounds = [f(c).alias(f"{name}_{c}") for c in by for name, f in (("least", F.min), ("most", F.max))]
     nulls = [F.bool_or(F.col(c).isNull()).alias(f"null_{c}") for c in by]
