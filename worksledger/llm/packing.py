@@ -24,9 +24,11 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from worksledger.llm.common import landed, pieces
+from worksledger.llm.common import forget, give_back, landed, pieces
 from worksledger.llm.lexicon import library_lexicon, words
 
+#: Text that is encoded at a time; its pieces, ids and batches are several times as large.
+SLICE_BYTES = 1 << 20
 DEPTH = 3
 GRAIN = 256
 
@@ -199,7 +201,7 @@ def tokenise(df: DataFrame, vocabulary: str, end_id: int, size: int, id_col: str
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, seen = TaskContext.get().partitionId(), np.zeros(size + 1, np.int64)
         for batch in batches:
-            for some in pieces(batch, 1):
+            for some in pieces(batch, 1, SLICE_BYTES):
                 ids, counts = library_lexicon(vocabulary, words).encode(some.column(1).to_pylist())
                 ends = np.cumsum(counts)
                 ids = np.insert(ids, ends, end_id)
@@ -230,6 +232,7 @@ def tokenise(df: DataFrame, vocabulary: str, end_id: int, size: int, id_col: str
                     ],
                     [id_col, *(x.split()[0] for x in PIECES.split(", "))],
                 )
+        give_back()
 
     kind = df.schema[id_col].dataType.simpleString()
     return landed(df.select(id_col, text_col).mapInArrow(run, f"`{id_col}` {kind}, {PIECES}"), "pieces")
@@ -247,6 +250,8 @@ def place(cut: DataFrame, size: int) -> DataFrame:
     rows = {c: k for k, c in enumerate(cut.columns)}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget()  # the texts are encoded
+        give_back()
         for batch in batches:
             length, rank = (batch.column(batch.schema.get_field_index(c)).to_numpy() for c in ("length", "nth"))
             sequence, offset = np.empty(len(length), np.int64), np.empty(len(length), np.int64)
