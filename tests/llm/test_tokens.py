@@ -1,5 +1,6 @@
 import base64
 import hashlib
+import itertools
 import random
 import zlib
 
@@ -75,6 +76,47 @@ def test_long_pieces_are_bounded_by_their_size(monkeypatch, sign):
         assert lex.held <= 3000 + len(text)
 
 
+class Counting(lexicon._Places):
+    """Counts what is looked up."""
+
+    asked = 0
+
+    def __getitem__(self, piece):
+        self.asked += 1
+        return super().__getitem__(piece)
+
+
+@pytest.mark.parametrize("path, split", [(BYTES, lexicon.spaced_pieces), (WORDS, lexicon.words)])
+def test_equal_pieces_are_looked_up_once(path, split):
+    lex = lexicon.Lexicon(lexicon.library_lexicon(path, split).encode_pieces, split)
+    lex.places = Counting()
+    texts = [cases.prose(k % 3, 200) for k in range(60)]
+    ids, counts = lex.encode(texts)
+    assert lex.places.asked == len(lex.places) < 1000
+    expected = [x.ids for x in library(path).encode_batch(texts, add_special_tokens=False)]
+    assert [ids[e - c : e].tolist() for e, c in zip(np.cumsum(counts), counts)] == expected
+
+
+@pytest.mark.parametrize("text", ["one\xa0two three four ", "\u65e5 one two\u3000 three", "a1b2 c3 ' d'e.f"])
+def test_rare_blanks_and_signs_leave_other_pieces_apart(text):
+    lex = lexicon.Lexicon(lexicon.library_lexicon(BYTES, lexicon.spaced_pieces).encode_pieces, lexicon.spaced_pieces)
+    texts = [text * 50, text]
+    for t in texts:
+        assert lex.encode([t])[0].tolist() == library(BYTES).encode(t, add_special_tokens=False).ids
+    assert max(map(len, lex.places)) < len(text)
+
+
+def test_every_short_text_of_kinds_gives_the_ids_of_the_library():
+    signs = ["a", "s", "1", ".", "'", " ", "\n", "\xa0", "\u3000", "\x1c", "é", "÷", "\u65e5"]
+    texts = ["".join(x) for n in range(1, 5) for x in itertools.product(signs, repeat=n)]
+    ids, counts = lexicon.library_lexicon(BYTES, lexicon.spaced_pieces).encode(texts)
+    expected = [x.ids for x in library(BYTES).encode_batch(texts, add_special_tokens=False)]
+    assert [ids[e - c : e].tolist() for e, c in zip(np.cumsum(counts), counts)] == expected
+    ids, counts = lexicon.library_lexicon(WORDS, lexicon.words).encode(texts)
+    expected = [x.ids for x in library(WORDS).encode_batch(texts, add_special_tokens=False)]
+    assert [ids[e - c : e].tolist() for e, c in zip(np.cumsum(counts), counts)] == expected
+
+
 def test_a_table_emptied_by_another_stage_is_built_again():
     first = lexicon.library_lexicon(BYTES, lexicon.spaced_pieces)
     common.forget()

@@ -97,11 +97,16 @@ class Side:
         return self.data[np.repeat(self.start[ids], self.size[ids]) + ragged(self.size[ids])]
 
 
-_SPACED = re.compile(r" +[^ ]*|[^ ]+")
+def _whole(data: np.ndarray, edges: np.ndarray) -> np.ndarray:
+    out = np.zeros(len(data), bool)
+    out[edges[edges < len(data)]] = True
+    return out
 
 
-def _behind_spaces(text: str) -> list[str]:
-    return _SPACED.findall(text)
+def _behind_spaces(data: np.ndarray, edges: np.ndarray) -> np.ndarray:
+    out = _whole(data, edges)
+    out[1:] |= (data[1:] == 32) & (data[:-1] != 32)
+    return out
 
 
 def byte_level(path: str) -> Side:
@@ -135,7 +140,7 @@ def sentence_pieces(path: str) -> Side:
         flat = np.fromiter((k for x in ids for k in x), np.int64)
         return flat, np.array([len(x) for x in ids], np.int64)
 
-    return Side(_Bounded(encode, _behind_spaces if apart else lambda text: [text] if text else []), tokens)
+    return Side(_Bounded(encode, _behind_spaces if apart else _whole), tokens)
 
 
 _SIDES: dict[tuple[str, str], tuple[Side, Side]] = {}

@@ -233,7 +233,7 @@ def encode(df: DataFrame, path: str, pattern: str, id_col: str = "doc_id", text_
     """id and `ids`, the tokens of each text."""
 
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:
-        ids, counts = lexicon(path, pattern).encode(batch.column(1).to_pylist())
+        ids, counts = lexicon(path, pattern).encode(batch.column(1))
         offsets = pa.array(np.concatenate([[0], np.cumsum(counts)]), pa.int32())
         return pa.RecordBatch.from_arrays([batch.column(0), pa.ListArray.from_arrays(offsets, pa.array(ids, pa.int32()))], [id_col, "ids"])
 

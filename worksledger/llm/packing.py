@@ -202,7 +202,7 @@ def tokenise(df: DataFrame, vocabulary: str, end_id: int, size: int, id_col: str
         part, seen = TaskContext.get().partitionId(), np.zeros(size + 1, np.int64)
         for batch in batches:
             for some in pieces(batch, 1, SLICE_BYTES):
-                ids, counts = library_lexicon(vocabulary, words).encode(some.column(1).to_pylist())
+                ids, counts = library_lexicon(vocabulary, words).encode(some.column(1))
                 ends = np.cumsum(counts)
                 ids = np.insert(ids, ends, end_id)
                 counts = counts + 1

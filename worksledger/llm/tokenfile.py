@@ -37,65 +37,80 @@ BLOCK = 4096
 CHUNK = 1 << 18
 
 
+#: Bits of each number below 2 ** 16.
+_BITS = np.repeat(np.arange(17), [1, *(1 << np.arange(16))]).astype(np.int8)
+
+
 def widths(ids: np.ndarray) -> np.ndarray:
     """Bits of each id."""
-    out = np.zeros(len(ids), np.int8)
-    rest = ids.astype(U64)
-    for step in (32, 16, 8, 4, 2, 1):
-        over = rest >= U64(1) << U64(step)
-        out += np.where(over, step, 0).astype(np.int8)
-        rest = np.where(over, rest >> U64(step), rest)
-    return out + (rest > 0)
+    most = int(ids.max(initial=0))
+    if most < 1 << 16:
+        return _BITS[ids]
+    rest, out = ids.astype(U64), np.zeros(len(ids), np.int8)
+    for step in (32, 16):
+        if most >= 1 << step:
+            over = rest >= U64(1) << U64(step)
+            out += over.astype(np.int8) * np.int8(step)
+            rest = np.where(over, rest >> U64(step), rest)
+    return out + _BITS[rest]
 
 
 def pack(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(words, words of each block). Each word takes as many of the next ids as it can."""
-    ids = np.ascontiguousarray(ids, dtype=U64)
+    ids = np.ascontiguousarray(ids)
     n, blocks = len(ids), -(-len(ids) // BLOCK)
     if not n:
         return np.zeros(0, U64), np.zeros(0, np.int32)
-    padded = np.zeros((blocks, BLOCK + 60), U64)
-    filled = np.zeros(blocks * BLOCK, U64)
-    filled[:n] = ids
-    padded[:, :BLOCK] = filled.reshape(blocks, BLOCK)
-    bits = widths(padded.ravel()).reshape(padded.shape)
+    # a block is followed by 60 zeros
+    row = BLOCK + 60
+    padded = np.zeros((blocks, row), ids.dtype)
+    full = n // BLOCK
+    padded[:full, :BLOCK] = ids[: full * BLOCK].reshape(full, BLOCK)
+    if full < blocks:
+        padded[full, : n - full * BLOCK] = ids[full * BLOCK :]
+    flat = padded.ravel()
+    bits = widths(flat).reshape(padded.shape)
     # the widest of the next c ids, for each c of the table, from windows of powers of two
     windows = {1: bits}
     for size in (2, 4, 8, 16, 32):
         half = windows[size // 2]
         windows[size] = np.maximum(half[:, : -(size // 2)], half[:, size // 2 :])
-    selector = np.full((blocks, BLOCK), ESCAPE, np.int8)
-    for s in range(len(COUNTS) - 1, -1, -1):
-        c = int(COUNTS[s])
-        size = 1 << (c.bit_length() - 1)
-        w = windows[min(size, 32)]
-        widest = np.maximum(w[:, :BLOCK], w[:, c - min(size, 32) :][:, :BLOCK])
-        selector[widest <= WIDTHS[s]] = s
-    taken = np.where(selector == ESCAPE, 1, COUNTS[np.minimum(selector, 13)])
-    ends = np.minimum(BLOCK, n - BLOCK * np.arange(blocks))
-    at, rows = np.zeros(blocks, np.int64), np.arange(blocks)
-    froms, of = [], []
-    while len(rows):  # one word of every block that has ids left
-        of.append(rows)
-        froms.append(at[rows])
-        at[rows] += taken[rows, at[rows]]
-        rows = rows[at[rows] < ends[rows]]
-    of, froms = np.concatenate(of), np.concatenate(froms)
-    order = np.lexsort((froms, of))
-    of, froms = of[order], froms[order]
-    chosen = selector[of, froms].astype(np.int64)
+    # fewer ids get more bits each: the selector is the number of those that do not fit
+    selector = np.zeros((blocks, row), np.int8)
+    for count, width in zip(COUNTS.tolist(), WIDTHS.tolist()):
+        size = min(1 << (count.bit_length() - 1), 32)
+        w = windows[size]
+        selector[:, :BLOCK] += np.maximum(w[:, :BLOCK], w[:, count - size :][:, :BLOCK]) > width
+    selector[selector == len(COUNTS)] = ESCAPE
+    selector = selector.ravel()
+    # one word of every block at a time; a block that is through stays at its last place
+    base = np.arange(blocks) * row
+    ends = base + np.minimum(BLOCK, n - BLOCK * np.arange(blocks))
+    behind = np.append(COUNTS, [1, 1])[selector]
+    behind += np.arange(blocks * row)
+    np.minimum(behind, np.repeat(ends, row), out=behind)
+    steps = [base]
+    while (steps[-1] < ends).any():
+        for _ in range(16):
+            steps.append(behind[steps[-1]])
+    places = np.stack(steps, axis=1)
+    there = places < ends[:, None]
+    at = places[there]
+    of = np.repeat(np.arange(blocks), there.sum(axis=1))
+    chosen = selector[at]
     size = np.where(chosen == ESCAPE, 2, 1)
     place = np.cumsum(size) - size
     words = np.zeros(int(size.sum()), U64)
-    for s in np.unique(chosen):
+    for s in np.unique(chosen).tolist():
         hit = np.flatnonzero(chosen == s)
+        froms = at[hit]
         if s == ESCAPE:
             words[place[hit]] = U64(ESCAPE) << U64(60)
-            words[place[hit] + 1] = padded[of[hit], froms[hit]]
+            words[place[hit] + 1] = flat[froms]
             continue
         word = np.full(len(hit), U64(s) << U64(60))
         for k in range(COUNTS[s]):
-            word |= padded[of[hit], froms[hit] + k] << U64(k * WIDTHS[s])
+            word |= flat[froms + k].astype(U64) << U64(k * WIDTHS[s])
         words[place[hit]] = word
     return words, np.bincount(of, weights=size, minlength=blocks).astype(np.int32)
 
@@ -169,7 +184,7 @@ def write(df: DataFrame, folder: str, vocabulary: str, end_id: int, id_col: str
 
         for batch in batches:
             for piece in pieces(batch, 1):
-                ids, counts = library_lexicon(vocabulary, spaced_pieces).encode(piece.column(1).to_pylist())
+                ids, counts = library_lexicon(vocabulary, spaced_pieces).encode(piece.column(1))
                 ends = np.cumsum(counts)
                 for name, a, b in zip(piece.column(0).to_pylist(), ends - counts, ends):
                     if size and size + b - a + 1 > CHUNK:
