@@ -4,6 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from tests.conftest import plan_text
 from worksledger.llm import pivots
 
 SCHEMA = "vec_id long, embedding array<float>, id long, n int, v string, score string"
@@ -119,3 +120,32 @@ def test_pivots_that_coincide():
     assert (upper >= x @ x.T).all()
     assert (pivots.Bounds(x[:1], x, x).upper(slice(0, 9)) >= x @ x.T).all()
     assert (pivots.Bounds(np.zeros((1, 0)), np.zeros((2, 0)), np.zeros((3, 0))).upper(slice(0, 2)) >= 0).all()
+
+
+def vectors(spark, n, dims=(8, 3)):
+    r = np.random.default_rng(7)
+    rows = [(k, [float(x) for x in r.normal(size=dims[k % len(dims)])]) for k in range(n)]
+    return rows, spark.createDataFrame([(i, v, 1, 2, "x", "y") for i, v in rows], SCHEMA).repartition(8)
+
+
+def test_copies_of_the_queries_are_not_broadcast(spark):
+    assert "Broadcast" not in plan_text(pivots.top_k(vectors(spark, 60)[1], F.col("id") % 20 == 0, 5))
+
+
+def test_the_sample_does_not_grow_with_the_tasks(spark, monkeypatch):
+    monkeypatch.setattr(pivots, "SAMPLE", 64)
+    held = pivots.quantised(vectors(spark, 2000)[1], 64, "vec_id", "embedding")
+    found = pivots.sampled(held, 64)
+    assert set(found) == {3, 8}
+    assert 20 <= sum(len(rows) for _, rows in found.values()) <= 150
+    assert all(x.shape == (len(rows), dim) for dim, (x, rows) in found.items())
+    monkeypatch.setattr(pivots, "SAMPLE", 2000)
+    assert sum(len(rows) for _, rows in pivots.sampled(held, 64).values()) == 2000
+
+
+@pytest.mark.parametrize("size", [1, 300, 1 << 20])
+def test_groups_of_query_blocks(spark, monkeypatch, size):
+    monkeypatch.setattr(pivots, "GROUP_BYTES", size)
+    monkeypatch.setattr(pivots, "QUERY_BLOCK", 3)
+    monkeypatch.setattr(pivots, "SAMPLE", 40)
+    check_rows(spark, vectors(spark, 400)[0], 6)

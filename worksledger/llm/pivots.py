@@ -14,7 +14,9 @@ and pivots change the work, never the result.
 
 Query blocks meet every candidate block, which is what an exact search over a stated query
 set has to do; each pair of blocks sends on k rows per query at most, and these are merged
-by a window over the query. Vectors are whole numbers here, so scores are exact.
+by a window over the query. Query blocks go in groups of GROUP_BYTES, and a candidate block
+is sent to each group once, not to each block. Vectors are whole numbers here, so scores are
+exact.
 
 Each length is searched among its own rows, so that no vector changes the result of those
 of another length; empty vectors score 0 with each other. Vectors that are null, or hold a
@@ -41,7 +43,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from worksledger.llm.common import landed
+from worksledger.llm.common import landed, mix64
 
 SAMPLE = 4096
 PIVOTS = 48
@@ -54,8 +56,10 @@ SLICE = 256
 TOGETHER = 128
 #: Directions of the pivots in which they spread less than this share of the largest distance are left out.
 SPREAD = 1e-3
-#: Candidate blocks of one query block are dealt over so many keys.
+#: Candidate blocks of one group of query blocks are dealt over so many keys.
 SALTS = 64
+#: Numbers of the query blocks of one group, which a task holds while candidate blocks pass.
+GROUP_BYTES = 8 << 20
 #: Components from here on make a vector wide, or fewer where a sum of products could leave 62 bits.
 RANGE = 1 << 25
 
@@ -138,6 +142,46 @@ def products(queries: np.ndarray, x: np.ndarray) -> np.ndarray:
     return queries.astype(np.int64) @ x.astype(np.int64).T
 
 
+def sampled(vectors: DataFrame, scale: int) -> dict[int, tuple[np.ndarray, np.ndarray]]:
+    """By length, about SAMPLE vectors in all and their rows; wide ones are none of them.
+
+    Rows are drawn by hash at the rate that leaves SAMPLE of them, so that the tasks together
+    hand the driver about that many, however many tasks there are.
+    """
+    narrow = vectors.where(~F.col("wide"))
+    share = SAMPLE / max(narrow.count(), 1)
+    if share < 1:
+        narrow = narrow.where(F.pmod(F.xxhash64("id", "row"), F.lit(1 << 30)) < F.lit(round(share * (1 << 30))))
+    found: dict[int, list] = {}
+    for r in _blocks(narrow, BLOCK, scale).collect():
+        x = np.frombuffer(r["numbers"], "<i4").reshape(r["n"], r["dim"]).astype(np.float64)
+        found.setdefault(r["dim"], []).append((x, np.frombuffer(r["rows"], "<i8")))
+    out = {}
+    for dim, parts in sorted(found.items()):
+        x, rows = (np.concatenate(side) for side in zip(*parts))
+        order = np.argsort(mix64(rows.astype(np.uint64)))  # the order of files does not count
+        out[dim] = x[order], rows[order]
+    return out
+
+
+def _groups(query_blocks: DataFrame) -> tuple[Column, Column]:
+    """The group of each query block, and the groups that a candidate block meets: those of its length.
+
+    The driver sees a length and a number for each query block.
+    """
+    group_of: dict[int, int] = {}
+    groups: dict[int, list[int]] = {}
+    held: dict[int, int] = {}
+    for r in query_blocks.select("dim", "block", F.octet_length("numbers").alias("size")).orderBy("block").collect():
+        if r["dim"] not in groups or held[r["dim"]] + r["size"] > GROUP_BYTES:
+            groups.setdefault(r["dim"], []).append(sum(map(len, groups.values())))
+            held[r["dim"]] = 0
+        held[r["dim"]] += r["size"]
+        group_of[r["block"]] = groups[r["dim"]][-1]
+    own = F.from_json(F.lit(json.dumps(group_of)), "map<string,int>")[F.col("block").cast("string")]
+    return own, F.from_json(F.lit(json.dumps(groups)), "map<string,array<int>>")[F.col("dim").cast("string")]
+
+
 class Bounds:
     """Upper bounds of inner products, by the distances of both sides to the pivots."""
 
@@ -234,17 +278,9 @@ def top_k(
     A score beyond 64 bits is null, its rank is right; text_scores: all scores in full, as text.
     """
     vectors = landed(quantised(df, scale, id_col, vector_col), "vectors")
-    # of wide vectors, none is a pivot
-    sample = vectors.where(~F.col("wide")).select("id", "row", "v").orderBy(F.xxhash64("id"), "id", "row").limit(SAMPLE).toPandas()
-    by_dim: dict[int, list] = {}
-    for v, row in zip(sample["v"], sample["row"]):
-        by_dim.setdefault(len(v), []).append((v, row))
-    samples = {
-        dim: (np.floor(scale * np.array([v for v, _ in of], np.float64)).reshape(len(of), dim), np.array([row for _, row in of], np.int64))
-        for dim, of in by_dim.items()
-    }
+    samples = sampled(vectors, scale)
     pivots = {dim: farthest_first(x, PIVOTS) for dim, (x, _) in samples.items()}
-    shared = df.sparkSession.sparkContext.broadcast(samples)  # SAMPLE vectors at most
+    shared = df.sparkSession.sparkContext.broadcast(samples)  # about SAMPLE vectors
     candidates = _blocks(vectors, BLOCK, scale)
     asked = vectors.where(is_query)
 
@@ -266,15 +302,15 @@ def top_k(
     made = _blocks(asked, QUERY_BLOCK, scale)
     seeds = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in made.schema) + ", floors binary"
     query_blocks = landed(made.mapInArrow(seeded, seeds).withColumn("block", F.monotonically_increasing_id()), "queries")
-    # a number for each query block; every candidate block is sent to every query block of its length
-    numbers: dict[int, list[int]] = {}
-    for r in query_blocks.select("dim", "block").orderBy("block").collect():
-        numbers.setdefault(r.dim, []).append(r.block)
+    own, met = _groups(query_blocks)
+    salts = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)).cast("array<bigint>"))
+    # a merge join: the size that Spark expects of the queries leaves out their SALTS copies, which must not be broadcast
     pairs = (
         candidates.withColumn("salt", F.pmod(F.xxhash64("ids", "rows"), F.lit(SALTS)))
-        .withColumn("block", F.explode(F.from_json(F.lit(json.dumps(numbers)), "map<string,array<bigint>>")[F.col("dim").cast("string")]))
+        .withColumn("group", F.explode(met))
+        .drop("dim")
         .withColumnsRenamed({c: f"c_{c}" for c in ("n", "wide", "ids", "rows", "numbers")})
-        .join(query_blocks.drop("dim").withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)).cast("array<bigint>"))), ["block", "salt"])
+        .join(query_blocks.withColumn("group", own).drop("block").withColumn("salt", salts).hint("merge"), ["group", "salt"])
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
