@@ -6,6 +6,7 @@ from collections import Counter
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.parquet as pq
 import public_tokenizers
 import pytest
 from sentencepiece import SentencePieceProcessor
@@ -13,7 +14,7 @@ from tokenizers import Tokenizer
 
 from tests.llm import cases
 from tests.llm.test_tokens import odd_texts
-from worksledger.llm import align
+from worksledger.llm import align, common
 
 A, B = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
 
@@ -128,3 +129,15 @@ def test_a_full_lexicon_starts_again(monkeypatch):
     want = align.align_texts(texts, a, b)
     again = [align.align_texts(texts.slice(k, 1), a, b) for k in range(2)]
     assert [x["told"][0] for x in again] == want["told"] and b.lexicon.held < 2000
+
+
+def test_blocks_are_written_a_few_at_a_time(spark, libraries, monkeypatch, tmp_path):
+    monkeypatch.setattr(align, "BLOCK_BYTES", 1)
+    monkeypatch.setattr(align, "PIECE_BYTES", 1)
+    monkeypatch.setattr(common, "scratch_path", lambda spark, name: str(tmp_path / name))
+    rows = [(k, cases.prose(k, 30)) for k in range(9)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    assert sorted(map(tuple, align.align(df, A, B).collect()), key=str) == brute(rows, libraries)
+    files = [pq.ParquetFile(f).metadata for f in (tmp_path / "aligned").glob("*.parquet")]
+    assert sum(f.num_rows for f in files) == 9
+    assert max(f.row_group(k).num_rows for f in files for k in range(f.num_row_groups)) <= 2

@@ -24,11 +24,12 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from worksledger.llm.common import joined_bytes, landed, pieces, ragged
+from worksledger.llm.common import give_back, joined_bytes, landed, pieces, ragged
 from worksledger.llm.lexicon import Lexicon, library_lexicon, spaced_pieces
 
 STEPS = 256  # of the merge in one piece
-BLOCK_BYTES = 16 << 20  # of text whose pairs are counted together
+BLOCK_BYTES = 4 << 20  # of text whose pairs are counted together
+BLOCKS_TOGETHER = 2  # that a writer or reader of Parquet holds
 PIECE_BYTES = 1 << 20  # of text encoded together
 #: What a worker remembers of each vocabulary before it starts again.
 MOST_PIECES, MOST_BYTES = 300_000, 8 << 20
@@ -215,13 +216,11 @@ def _blocks(a_path: str, b_path: str, make: Callable[[str, str], tuple[Side, Sid
                 name, kind = spec.split(": ")
                 columns[name] = pa.array([pa.array(rows[name], kind)], pa.list_(pa.type_for_alias(kind)))
                 rows[name].clear()
-            for name, x, kind in (
-                ("place", at, pa.int32()),
-                ("times", np.concatenate(times) if times else at, pa.int32()),
-                ("pair", distinct, pa.int64()),
-                ("docs", np.bincount(at, minlength=len(distinct)), pa.int64()),
-            ):
-                columns[name] = pa.array([pa.array(x, kind)], pa.list_(kind))
+            # one value each for Spark, which moves them and never looks into them
+            columns["place"] = pa.array([at.astype("<i4").tobytes()])
+            columns["times"] = pa.array([np.concatenate(times).astype("<i4").tobytes() if times else b""])
+            for name, x in (("pair", distinct), ("docs", np.bincount(at, minlength=len(distinct)))):
+                columns[name] = pa.array([pa.array(x, pa.int64())], pa.list_(pa.int64()))
             pairs.clear()
             times.clear()
             return pa.RecordBatch.from_pydict(columns)
@@ -242,23 +241,24 @@ def _blocks(a_path: str, b_path: str, make: Callable[[str, str], tuple[Side, Sid
                     number, held = number + 1, 0
         if rows["doc_id"]:
             yield block()
+        give_back()
 
     return run
 
 
 _BLOCK = (
     "block bigint, doc_id array<bigint>, n_a array<bigint>, n_b array<bigint>, n_groups array<bigint>, n_links array<bigint>, "
-    "groups_sha256 array<string>, n_pairs array<int>, place array<int>, times array<int>, pair array<bigint>, docs array<bigint>"
+    "groups_sha256 array<string>, n_pairs array<int>, place binary, times binary, pair array<bigint>, docs array<bigint>"
 )
 _RESULT = "doc_id bigint, n_a bigint, n_b bigint, n_groups bigint, n_links bigint, n_best bigint, count_sum bigint, groups_sha256 string"
 
 
 def _scored(block: pa.Table, counted: pa.Table) -> pa.Table:
     """The texts of one block, with the corpus-wide counts of its pairs."""
-    row = {name: block.column(name).combine_chunks()[0].values for name in block.column_names if name != "block"}
+    place, times = (np.frombuffer(block.column(c)[0].as_buffer(), "<i4") for c in ("place", "times"))
+    row = {name: block.column(name).combine_chunks()[0].values for name in block.column_names if name not in ("block", "place", "times")}
     order = np.argsort(counted.column("pair").to_numpy())  # the order of the block's own pairs
     n, best = (counted.column(c).to_numpy()[order].astype(np.int64) for c in ("n", "is_best"))
-    place, times = (row[c].to_numpy(zero_copy_only=False).astype(np.int64) for c in ("place", "times"))
     per_text = row["n_pairs"].to_numpy(zero_copy_only=False)
     made = {"n_best": _sums(times * best[place], per_text), "count_sum": _sums(times * n[place], per_text)}
     names = [field.split(" ")[0] for field in _RESULT.split(", ")]
@@ -286,9 +286,9 @@ def align(df: DataFrame, a_path: str, b_path: str, make: Callable[[str, str], tu
     kept. Other columns are not read. An empty table gives no rows.
     """
     narrow = df.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    blocks = landed(narrow.mapInArrow(_blocks(a_path, b_path, make), _BLOCK), "aligned")
+    blocks = landed(narrow.mapInArrow(_blocks(a_path, b_path, make), _BLOCK), "aligned", BLOCKS_TOGETHER)
     from sentencepiece import SentencePieceProcessor
 
     counts = pair_counts(blocks, SentencePieceProcessor(model_file=b_path).get_piece_size())
     asked = blocks.select(F.col("block").alias("of"), F.explode("pair").alias("pair")).join(counts, "pair")
-    return blocks.groupBy("block").cogroup(asked.groupBy("of")).applyInArrow(_scored, _RESULT)
+    return blocks.drop("pair", "docs").groupBy("block").cogroup(asked.groupBy("of")).applyInArrow(_scored, _RESULT)
