@@ -2,7 +2,7 @@
 
 from worksledger.sinks.csv import export_csv
 from worksledger.sinks.manifest import dataset_sizes, manifest, write_manifest
-from worksledger.sinks.tables import create_table, current_table, drop_versions, export_parquet, materialise, replace_table
+from worksledger.sinks.tables import create_table, current_table, drop_versions, export_parquet, materialise, materialise_parts, replace_table
 
 __all__ = [
     "create_table",
@@ -13,6 +13,7 @@ __all__ = [
     "export_parquet",
     "manifest",
     "materialise",
+    "materialise_parts",
     "replace_table",
     "write_manifest",
 ]
