@@ -4,11 +4,12 @@ from __future__ import annotations
 
 import re
 import time
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
 
-from parity import tables
+from parity import queries, tables
 from tests.conftest import SMALL
 from worksledger import session
 from worksledger.operators import dedup
@@ -80,6 +81,24 @@ def test_given_tables_of_parts(given, in_fives):
     assert rows(given.clean) == rows(clean_projects(given.lazy_raw))
 
 
+def test_collections_are_read_and_removed_in_parts(spark, given, monkeypatch):
+    monkeypatch.setattr(queries, "TEXT_PART_BYTES", 50_000)
+    shared = Path(session.shared_folder(spark).removeprefix("file:"))
+    most, made, of = [0], [], tables.Given.collections_of
+    before = set(shared.glob("collections-*"))
+
+    def watched(self, source):
+        made.append(of(self, source))
+        most.append(len(set(shared.glob("collections-*")) - before))
+        return made[-1]
+
+    monkeypatch.setattr(tables.Given, "collections_of", watched)
+    got = queries._read_geojson_splits(given)
+    assert len(made) > 1 and max(most) == 1
+    assert set(shared.glob("collections-*")) == before
+    assert rows(got) == rows(given.lazy_raw)
+
+
 def test_shuffle_files_go_with_the_part(spark, tmp_path):
     before = shuffles(spark)
     parts = [spark.range(1000).repartition(3, "id").groupBy((F.col("id") % k).alias("x")).count() for k in (7, 5)]
