@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from parity import queries, tables
 from tests.conftest import SMALL
 from worksledger import session
-from worksledger.operators import dedup
+from worksledger.operators import cleaning, dedup
 from worksledger.operators.cleaning import CleaningRules, clean_projects
 from worksledger.plans.jobs import transform
 from worksledger.sinks import materialise, materialise_parts
@@ -81,6 +81,11 @@ def test_given_tables_of_parts(given, in_fives):
     assert rows(given.clean) == rows(clean_projects(given.lazy_raw))
 
 
+def test_newest_edits_of_parts(given, in_fives):
+    want = dedup.dedup_latest(given.lazy_raw, [cleaning.KEY], cleaning.EDITED, cleaning.default_tie_breakers())
+    assert rows(queries._dedup_latest(given)) == rows(want)
+
+
 def test_collections_are_read_and_removed_in_parts(spark, given, monkeypatch):
     monkeypatch.setattr(queries, "TEXT_PART_BYTES", 50_000)
     shared = Path(session.shared_folder(spark).removeprefix("file:"))
